@@ -14,6 +14,7 @@ def local_session(cores: int | str = 8, app: str = "flowlab", **conf: str) -> Sp
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("FLOWLAB_DRIVER_MEMORY", "10g"))
         .config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.sql.session.timeZone", "UTC")
