@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowlab.operators import scale
@@ -22,41 +22,24 @@ def bounded_sample(
     return df.orderBy(scale.seeded_hash(seed, *ids), *ids).limit(n)
 
 
+def _with_cuts(df: DataFrame, ids, seed, label, ranks) -> DataFrame:
+    """Attach the rank cuts of each class; the table of cuts has a row per class."""
+    cuts = scale.hash_cuts(df, ids, seed, ranks, within=label)
+    return df.withColumn("_md5", scale.seeded_hash(seed, *ids)).join(
+        F.broadcast(cuts), F.col(label).eqNullSafe(F.col("_class"))
+    )
+
+
 def sample_per_class(
     df: DataFrame,
     n: int = 40_000,
     seed: int = 42,
     ids: Sequence[str] = ("row_id",),
     label: str = "label",
-    digits: int = 4,
 ) -> DataFrame:
-    """At most ``n`` random rows of each class.
-
-    A count by class and hash prefix tells how far into the random order the
-    sample of a class reaches. Rows beyond that prefix are dropped where they
-    are read, so only about ``n`` rows per class are shuffled and ranked.
-    """
-    hashed = df.withColumn("_md5", scale.seeded_hash(seed, *ids)).withColumn(
-        "_prefix", F.substring("_md5", 1, digits)
-    )
-    running = Window.partitionBy(label).orderBy("_prefix")
-    reach = (
-        hashed.groupBy(label, "_prefix")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_before", F.sum("_n").over(running) - F.col("_n"))
-        .where(F.col("_before") < n)
-        .groupBy(F.col(label).alias("_label"))
-        .agg(F.max("_prefix").alias("_reach"))
-    )
-    near = hashed.join(
-        reach, (F.col(label) == F.col("_label")) & (F.col("_prefix") <= F.col("_reach"))
-    )
-    rank = F.row_number().over(Window.partitionBy(label).orderBy("_md5", *ids))
-    return (
-        near.withColumn("_rn", rank)
-        .where(F.col("_rn") <= n)
-        .drop("_md5", "_prefix", "_label", "_reach", "_rn")
-    )
+    """At most ``n`` random rows of each class: a filter, once the cuts are known."""
+    near = _with_cuts(df, ids, seed, label, lambda total: [F.lit(n)])
+    return near.where(F.col("_md5") <= F.col("_cut_0")).select(*df.columns)
 
 
 def stratified_split(
@@ -69,17 +52,22 @@ def stratified_split(
 ) -> DataFrame:
     """Column ``split``: per class first the test share, then ``val/(1-test)``
 
-    of the remainder, the rest for training; sizes are rounded half up.
+    of the remainder, the rest for training; sizes are rounded half up. The
+    assignment is a projection, so the table is not shuffled.
     """
-    ranked = scale.number_by_hash(df, ids, seed, within=[label], out="_rn", total="_total")
-    n_test = F.floor(F.col("_total") * F.lit(test) + 0.5)
-    n_val = F.floor((F.col("_total") - n_test) * F.lit(val / (1.0 - test)) + 0.5)
-    return ranked.withColumn(
-        "split",
-        F.when(F.col("_rn") <= n_test, "test")
-        .when(F.col("_rn") <= n_test + n_val, "val")
-        .otherwise("train"),
-    ).drop("_rn", "_total")
+
+    def ranks(total):
+        n_test = F.floor(total * F.lit(test) + 0.5)
+        n_val = F.floor((total - n_test) * F.lit(val / (1.0 - test)) + 0.5)
+        return [n_test, n_test + n_val]
+
+    cut = _with_cuts(df, ids, seed, label, ranks)
+    split = (
+        F.when(F.col("_md5") <= F.col("_cut_0"), "test")
+        .when(F.col("_md5") <= F.col("_cut_1"), "val")
+        .otherwise("train")
+    )
+    return cut.select(*df.columns, split.alias("split"))
 
 
 def stratified_folds(

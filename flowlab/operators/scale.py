@@ -149,6 +149,63 @@ def number_by_hash(
     ).drop("_md5")
 
 
+def hash_cuts(
+    df: DataFrame,
+    ids: Sequence[str],
+    seed: int,
+    ranks,
+    *,
+    within: str,
+    digits: int = 4,
+) -> DataFrame:
+    """Hash values at given ranks of the pseudo-random order of each class.
+
+    ``ranks(total)`` lists rank expressions, given the size of the class. The
+    result has one row per class: the class as ``_class`` and ``_cut_0, ...``;
+    a row is among the first ``rank`` ones exactly when its hash is not above
+    the cut. Rows are only counted by class and hash prefix; those that share
+    the prefix with a cut, one in 65,536, are ranked to find it. So choosing
+    rows by rank needs no shuffle of the table.
+    """
+    hashed = df.select(
+        F.struct(F.col(within).alias("c")).alias("_class"), seeded_hash(seed, *ids).alias("_md5")
+    ).withColumn("_prefix", F.substring("_md5", 1, digits))
+    whole = Window.partitionBy("_class")
+    running = whole.orderBy("_prefix")
+    counts = (
+        hashed.groupBy("_class", "_prefix")
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .withColumns({"_upto": F.sum("_n").over(running), "_total": F.sum("_n").over(whole)})
+    )
+    wanted = ranks(F.col("_total"))
+    n_cuts = len(wanted)
+    placed = counts.select(
+        "_class", "_prefix", "_n", "_upto", F.posexplode(F.array(*[r.cast("long") for r in wanted]))
+    ).toDF("_class", "_prefix", "_n", "_upto", "_j", "_rank")
+    targets = placed.where(
+        (F.col("_rank") > F.col("_upto") - F.col("_n")) & (F.col("_rank") <= F.col("_upto"))
+    ).select("_class", "_prefix", "_j", (F.col("_rank") - F.col("_upto") + F.col("_n")).alias("_local"))
+    order = Window.partitionBy("_class", "_prefix", "_j").orderBy("_md5")
+    found = (
+        hashed.join(targets, ["_class", "_prefix"])
+        .withColumn("_rn", F.row_number().over(order))
+        .where(F.col("_rn") == F.col("_local"))
+        .groupBy("_class")
+        .agg(*[F.max(F.when(F.col("_j") == j, F.col("_md5"))).alias(f"_cut_{j}") for j in range(n_cuts)])
+    )
+    # nothing is below a rank of zero, everything below a rank beyond the class
+    sizes = counts.groupBy("_class").agg(F.max("_total").alias("_total"))
+    table = sizes.join(found, "_class", "left").select(
+        F.col("_class.c").alias("_class"),
+        *[
+            F.when(r <= 0, F.lit("")).when(r > F.col("_total"), F.lit("g")).otherwise(F.col(f"_cut_{j}")).alias(f"_cut_{j}")
+            for j, r in enumerate(wanted)
+        ],
+    )
+    schema = table.schema
+    return df.sparkSession.createDataFrame(table.collect(), schema)  # one row per class
+
+
 # ---------------------------------------------------------------------------
 # exact quantiles
 # ---------------------------------------------------------------------------
