@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from flowlab.plans import model_queries, packet_queries, table_queries  # noqa: F401
+from flowlab.plans import cluster_queries, model_queries, packet_queries, table_queries  # noqa: F401
 from flowlab.plans import registry
 
 
