@@ -229,7 +229,7 @@ def dbscan(
     plain = points.select("id", "vec")
     thin = points.where(~F.col("dense")).select("id", "vec")
     counted = (
-        D.near_pairs(thin, plain, eps, axes=axes, cell_rows=cell_rows)
+        D.near_pairs(thin, plain, eps, axes=axes, dims=axes_all, cell_rows=cell_rows)
         .groupBy(F.col("l_id").alias("id"))
         .agg((F.count(F.lit(1)) >= min_samples).alias("core"))
     )
@@ -243,7 +243,7 @@ def dbscan(
     reach = D.near_pairs(
         points.where(~F.col("dense")).select("id", "vec", "core", "node"), cores, eps,
         F.when(F.col("l_core"), F.col("l_node") != F.col("r_node")).otherwise(F.lit(True)),
-        axes=axes, cell_rows=cell_rows,
+        axes=axes, dims=axes_all, cell_rows=cell_rows,
     ).groupBy("l_id", "l_core", "l_node", "r_node").agg(F.count(F.lit(1)).alias("_n"))
     reach = cut_lineage(reach.select("l_id", "l_core", "l_node", "r_node"))
     thin_edges = reach.where("l_core").select(

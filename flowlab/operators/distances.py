@@ -73,6 +73,7 @@ def near_pairs(
     condition: Column | None = None,
     *,
     axes: int = 2,
+    dims: int | None = None,
     cell_rows: int = CELL_ROWS,
 ) -> DataFrame:
     """Rows of ``left`` with the rows of ``right`` at most ``eps`` away.
@@ -83,7 +84,7 @@ def near_pairs(
     both sides are cut into parts by a hash of the id and every pair of parts
     is its own join key, so that no task receives a whole cell.
     """
-    axes = min(axes, dimensions(right))
+    axes = min(axes, dims if dims is not None else dimensions(left))
     lefts = left.select(
         *[F.col(c).alias(f"l_{c}") for c in left.columns],
         F.explode(_shifted(_cell(F.col("vec"), eps, axes), axes)).alias("cell"),

@@ -56,10 +56,7 @@ def fit_params(df: DataFrame, cols: Sequence[str], kind: str, **kw) -> Params:
         found = scale.exact_quantiles(df, cols, [0.5], **kw)
         params.fill = {c: float(v[0]) if v[0] is not None else 0.0 for c, v in found.items()}
     elif kind == "robust":
-        found = scale.exact_quantiles(df, cols, [0.25, 0.5, 0.75], **kw)
-        for c, (low, mid, high) in found.items():
-            params.center[c] = float(mid or 0.0)
-            params.scale[c] = _unit_if_zero((high or 0.0) - (low or 0.0))
+        params = robust_params(scale.exact_quantiles(df, cols, [0.25, 0.5, 0.75], **kw))
     elif kind == "standard":
         row = df.agg(
             *[F.avg(c).alias(f"m_{i}") for i, c in enumerate(cols)],
@@ -73,6 +70,14 @@ def fit_params(df: DataFrame, cols: Sequence[str], kind: str, **kw) -> Params:
     return params
 
 
+def robust_params(quartiles: Mapping[str, Sequence]) -> Params:
+    params = Params()
+    for c, (low, mid, high) in quartiles.items():
+        params.center[c] = float(mid or 0.0)
+        params.scale[c] = _unit_if_zero((high or 0.0) - (low or 0.0))
+    return params
+
+
 def scaled(c: str, params: Params) -> Column:
     value = F.col(c).cast("double")
     if c in params.fill:
@@ -201,6 +206,34 @@ def _clean(df, features, profile, upper, micros, legacy) -> DataFrame:
     return df
 
 
+def _fit_imputed(train: DataFrame, fill_from: DataFrame | None, cols, scaler: str) -> Params:
+    """Medians, then scaling parameters of the imputed columns.
+
+    Without NULLs the median and the quartiles come from the same pass; only
+    columns in which something was imputed are looked at again.
+    """
+    counts: dict = {}
+    quartiles = scale.exact_quantiles(train, cols, [0.25, 0.5, 0.75], counts=counts)
+    source = quartiles
+    if fill_from is not None:
+        source = scale.exact_quantiles(fill_from, cols, [0.25, 0.5, 0.75])
+    fill = {c: float(v[1]) if v[1] is not None else 0.0 for c, v in source.items()}
+    holes = [c for c in cols if counts[c] < counts[None]]
+    params = Params()
+    if scaler == "robust":
+        params = robust_params(quartiles)
+        again = holes
+    else:
+        again = list(cols)
+    if again:
+        filled = apply_params(train.select(*again), Params(fill={c: fill[c] for c in again}))
+        refit = fit_params(filled, again, scaler)
+        params.center |= refit.center
+        params.scale |= refit.scale
+    params.fill = fill
+    return params
+
+
 def fit_preprocessor(
     df: DataFrame,
     features: Sequence[str] = FLOW_FEATURES,
@@ -236,10 +269,7 @@ def fit_preprocessor(
     cleaned = model.clean(df).select(*ids, "label", *features)
     parts = sampling.stratified_split(cleaned, test, val, seed, ids)
     train = parts.where(F.col("split") == "train")
-    base = train if fit_on == "train" else cleaned
-    fills = fit_params(base, features, "median")
-    model.params = fit_params(apply_params(train, fills), features, scaler)
-    model.params.fill = fills.fill
+    model.params = _fit_imputed(train, None if fit_on == "train" else cleaned, features, scaler)
     return model, transform(parts, model, cleaned=True)
 
 

@@ -223,12 +223,14 @@ def exact_quantiles(
     by: str | None = None,
     small: int = PERCENTILE_ROWS,
     accuracy: int = BRACKET_ACCURACY,
+    counts: dict | None = None,
 ) -> dict:
     """Exact quantiles with linear interpolation, NULLs left out.
 
     Returns ``{column: [value, ...]}``, or ``{group: {column: [...]}}`` with
     ``by`` (a column of few values, such as a class label). The result holds a
-    few numbers per column and is meant as fitted state.
+    few numbers per column and is meant as fitted state. ``counts``, if given,
+    receives the rows per group under ``None`` and the values per column.
 
     Small inputs take the built-in ``percentile``. On large ones that would
     keep every distinct value in one aggregation buffer, so a first pass
@@ -242,6 +244,7 @@ def exact_quantiles(
         min(max(p + d, 0.0), 1.0) for p in probabilities for d in (-margin, margin)
     ]
     first = df.groupBy(*groups).agg(
+        F.count(F.lit(1)).alias("n"),
         *[F.count(c).alias(f"n_{i}") for i, c in enumerate(cols)],
         *[
             F.percentile_approx(c, edges, accuracy).alias(f"e_{i}")
@@ -249,6 +252,9 @@ def exact_quantiles(
         ],
     )
     brackets = first.collect()  # one row per class
+    if counts is not None:
+        counts[None] = sum(r["n"] for r in brackets)
+        counts.update({c: sum(r[f"n_{i}"] for r in brackets) for i, c in enumerate(cols)})
     if max([r[f"n_{i}"] for r in brackets for i in range(len(cols))], default=0) <= small:
         exact = df.groupBy(*groups).agg(
             *[F.percentile(c, probabilities).alias(f"q_{i}") for i, c in enumerate(cols)]

@@ -2,7 +2,13 @@
 
 from __future__ import annotations
 
-from flowlab.plans import cluster_queries, model_queries, packet_queries, table_queries  # noqa: F401
+from flowlab.plans import (  # noqa: F401
+    cluster_queries,
+    learning_queries,
+    model_queries,
+    packet_queries,
+    table_queries,
+)
 from flowlab.plans import registry
 
 
