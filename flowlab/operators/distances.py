@@ -170,12 +170,16 @@ def blockwise(
     rights = right.withColumn("j", F.pmod(F.xxhash64("id"), F.lit(n_right)).cast("int")).withColumn(
         "i", F.explode(F.sequence(F.lit(0), F.lit(n_left - 1)))
     )
-    return (
-        lefts.groupBy("i", "j")
-        .cogroup(rights.groupBy("i", "j"))
-        .applyInPandas(fn, schema)
+    both = lefts.withColumn("_left", F.lit(True)).unionByName(
+        rights.withColumn("_left", F.lit(False)), allowMissingColumns=True
     )
 
+    def meet(pdf: pd.DataFrame) -> pd.DataFrame:
+        on_left = pdf["_left"].to_numpy(dtype=bool)
+        return fn(pdf[on_left], pdf[~on_left])
+
+    return both.groupBy("i", "j").applyInPandas(meet, schema)
+
 
 def _limited(df: DataFrame, n: int | None, seed: int) -> DataFrame:
     return df if n is None else sampling.bounded_sample(df, n, seed, ["id"])
