@@ -7,6 +7,7 @@ from flowlab.plans import (  # noqa: F401
     learning_queries,
     model_queries,
     packet_queries,
+    stream_queries,
     table_queries,
 )
 from flowlab.plans import registry

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -36,8 +35,7 @@ def embedded(spark, sf):
 
 def shared_folder(spark):
     """A new folder beside the checkpoints, on storage every executor sees."""
-    base = checkpoint_dir(spark)
-    return tempfile.mkdtemp(prefix="state-", dir=base) if os.path.isdir(base) else f"{base}/state-{os.getpid()}"
+    return f"{checkpoint_dir(spark).rstrip('/')}/run-{uuid.uuid4().hex}"
 
 
 # --- windows ----------------------------------------------------------------------

@@ -26,16 +26,27 @@ def list_files(spark: SparkSession, path: str, glob: str | None = None) -> DataF
     return reader.load(path).select("path", "length")
 
 
-def open_input(uri: str):
-    """A random access file for a task, on any file system Arrow knows."""
+def _arrow_location(uri: str):
     from pyarrow import fs
 
     if uri.startswith("file:"):
         uri = "file://" + "/" + uri[len("file:"):].lstrip("/")
-    system, path = fs.FileSystem.from_uri(uri)
+    return fs.FileSystem.from_uri(uri)
+
+
+def open_input(uri: str):
+    """A random access file for a task, on any file system Arrow knows."""
+    system, path = _arrow_location(uri)
     return system.open_input_file(path)
 
 
+def write_bytes(uri: str, data: bytes) -> None:
+    system, path = _arrow_location(uri)
+    system.create_dir(path.rsplit("/", 1)[0], recursive=True)
+    with system.open_output_stream(path) as f:
+        f.write(data)
+
+
 def read_csv(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """Header CSV, all columns as text: no inference pass over the data."""
     return (
