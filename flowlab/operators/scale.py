@@ -264,14 +264,14 @@ def exact_quantiles(
             for r in exact.collect()
         }
     else:
-        found = _refine(df, cols, probabilities, by, brackets)
+        found = _refine(df, cols, probabilities, by, brackets, accuracy)
     for per_column in found.values():
         for c in cols:
             per_column[c] = per_column[c] or [None] * len(probabilities)
     return found if by else found.get(None, {c: [None] * len(probabilities) for c in cols})
 
 
-def _refine(df, cols, probabilities, by, brackets):
+def _refine(df, cols, probabilities, by, brackets, accuracy):
     """Second pass: rank arithmetic inside the brackets of the first."""
     spark = df.sparkSession
     cells = []
@@ -282,6 +282,8 @@ def _refine(df, cols, probabilities, by, brackets):
                 continue
             for j, p in enumerate(probabilities):
                 lo, hi = float(edges[2 * j]), float(edges[2 * j + 1])
+                if n <= 4 * accuracy:  # too few rows for the margin to span a rank
+                    lo, hi = -math.inf, math.inf
                 cells.append((r[by] if by else None, i, j, lo, hi, p * (n - 1)))
     by_type = df.schema[by].dataType.simpleString() if by else "string"
     bounds = spark.createDataFrame(
