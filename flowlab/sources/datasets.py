@@ -12,6 +12,12 @@ from flowlab.schema import CIC_COLUMNS, FLOW_FEATURES, ISCX_COLUMNS, UNSW_COLUMN
 from flowlab.sources import files
 
 
+#: columns the derived features of CIC-IDS-2017 are computed from
+CIC_NEEDED = [
+    "fwd_packet_count", "bwd_packet_count", "total_fwd_bytes", "total_bwd_bytes", "flow_duration",
+]
+
+
 def _features_as_double(df: DataFrame) -> DataFrame:
     return C.coerce(df, [f for f in FLOW_FEATURES if f in df.columns], default=None)
 
@@ -47,7 +53,7 @@ def load_iscx(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
 def load_cic(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """A CIC-IDS-2017 frame: renamed, six derived features, label taxonomy."""
     df = C.normalize_columns(df, "trim").withColumnsRenamed(CIC_COLUMNS)
-    df = _features_as_double(df)
+    df = C.ensure_features(_features_as_double(df), CIC_NEEDED)
     df = C.estimate_active_idle(C.estimate_header(C.derive_ratios(df)))
     df = C.clean_label(C.map_labels(df.withColumn("label", F.trim("label"))))
     return C.project_flow(C.ensure_features(df), keep=keep)

@@ -241,9 +241,8 @@ def _apply(links: list, events: list) -> list:
 
 def _decode(data: bytes, rows: list, base: int) -> pd.DataFrame:
     """Header fields of all IPv4 packets, gathered column by column."""
-    empty = pd.DataFrame({n: [] for n, _ in PACKET_FIELDS})
     if not rows:
-        return empty
+        return _reject(0, "").iloc[:0].copy()
     table = np.array([r[:3] for r in rows], dtype=np.int64)
     record, at, caught = table.T
     ts = np.array([r[3] for r in rows])
@@ -302,6 +301,12 @@ def _decode(data: bytes, rows: list, base: int) -> pd.DataFrame:
     )
 
 
+def _reject(at: int, error: str) -> pd.DataFrame:
+    kinds = {"long": "Int64", "int": "Int32", "double": "float64", "string": "object"}
+    row = {n: pd.Series([None], dtype=kinds[k]) for n, k in PACKET_FIELDS}
+    return pd.DataFrame(row | {"packet_id": [at], "error": [error]})
+
+
 def _read_ranges(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     columns = [n for n, _ in PACKET_FIELDS]
     for batch in batches:
@@ -323,9 +328,9 @@ def _read_ranges(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 out = _decode(data, rows, int(row.start))
                 out["error"] = None
             except Exception as e:  # noqa: BLE001 - reported as a row
-                out = pd.DataFrame({"packet_id": [int(row.lo)], "error": [f"{type(e).__name__}: {e}"[:500]]})
+                out = _reject(int(row.lo), f"{type(e).__name__}: {e}"[:500])
             out["source_file"] = row.path
-            yield out.reindex(columns=columns)
+            yield out[columns]
 
 
 # --- the source -----------------------------------------------------------------------------
