@@ -35,6 +35,15 @@ from flowlab.operators.preparing import attach_weights, class_name
 LABEL = "label_idx"
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Even partitions for algorithms that pass over their input many times.
+
+    One shuffle of the few columns they read, instead of a straggler (a large
+    or unsplittable input file) in each of the passes.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 # --- scoring ---------------------------------------------------------------------------
 
 def score(df: DataFrame, model, classes: Sequence[str] | None = None) -> DataFrame:
@@ -94,10 +103,15 @@ def random_forest(
         numTrees=n_trees, maxDepth=max_depth, seed=seed, featureSubsetStrategy="sqrt",
         minInstancesPerNode=max(1, min_split // 2), labelCol=LABEL, featuresCol="features",
     )
+    df = df.select("features", LABEL)
     if balanced:
         df = attach_weights(df, LABEL)
         params["weightCol"] = "weight"
-    return RandomForestClassifier(**params).fit(df)
+    table = spread(df).persist()  # read for classes, split points and bagging
+    try:
+        return RandomForestClassifier(**params).fit(table)
+    finally:
+        table.unpersist()
 
 
 def importances(model, names: Sequence[str], spark) -> DataFrame:
@@ -248,7 +262,7 @@ def svm(
     def to_features(x: pd.Series) -> pd.Series:
         return pd.Series(list(mapped(np.array(x.tolist(), dtype=np.float64))))
 
-    weighted = attach_weights(df.select("features", LABEL), LABEL)
+    weighted = spread(attach_weights(df.select("features", LABEL), LABEL))
     table = weighted.select(
         array_to_vector(to_features(vector_to_array("features"))).alias("features"), LABEL, "weight"
     ).persist()
@@ -362,8 +376,8 @@ def window_classifier(
     validation accuracy is kept; classes are balanced by repeating rows, as
     it takes no weights. ``forest``: a weighted forest.
     """
-    vectors = windows.select(
-        array_to_vector(W.window_vector("matrix", kind)).alias("features"), LABEL
+    vectors = spread(
+        windows.select(array_to_vector(W.window_vector("matrix", kind)).alias("features"), LABEL)
     ).persist()
     try:
         if method == "forest":

@@ -72,9 +72,8 @@ def union_all(dfs: Sequence[DataFrame]) -> DataFrame:
 # --- labels --------------------------------------------------------------------
 
 def clean_label(df: DataFrame, default: str = DEFAULT_LABEL) -> DataFrame:
-    label = F.trim(F.col("label"))
-    known = label.isNotNull() & (label != "") & (label != "nan")
-    return df.withColumn("label", F.when(known, label).otherwise(F.lit(default)))
+    known = F.nullif(F.nullif(F.trim(F.col("label")), F.lit("")), F.lit("nan"))
+    return df.withColumn("label", F.coalesce(known, F.lit(default)))
 
 
 def map_labels(
@@ -84,13 +83,15 @@ def map_labels(
 ) -> DataFrame:
     """Labels to the taxonomy; labels it does not know pass through."""
     label = F.col("label")
-    result = None
-    for part, name in contains.items():
-        hit = label.contains(part)
-        result = F.when(hit, name) if result is None else result.when(hit, name)
-    lookup = F.create_map(*[F.lit(x) for pair in mapping.items() for x in pair])
-    mapped = F.coalesce(F.try_element_at(lookup, label), label)
-    return df.withColumn("label", mapped if result is None else result.otherwise(mapped))
+    branches = [(label.contains(part), name) for part, name in contains.items()]
+    for name in dict.fromkeys(mapping.values()):
+        branches.append((label.isin([k for k, v in mapping.items() if v == name]), name))
+    if not branches:
+        return df
+    result = F.when(*branches[0])
+    for condition, name in branches[1:]:
+        result = result.when(condition, name)
+    return df.withColumn("label", result.otherwise(label))
 
 
 def drop_unlabeled(df: DataFrame, label: str = "label") -> DataFrame:
@@ -100,18 +101,20 @@ def drop_unlabeled(df: DataFrame, label: str = "label") -> DataFrame:
 def drop_classes(df: DataFrame, names: Sequence[str] | DataFrame) -> DataFrame:
     """Without the named classes; a table of names becomes an anti join."""
     if isinstance(names, DataFrame):
-        return df.join(names.select("label"), "label", "left_anti")
-    return df.where(~F.col("label").isin(list(names))) if names else df
+        return df.join(scale.checked_broadcast(names.select("label")), "label", "left_anti")
+    if not names:
+        return df
+    return df.where(F.coalesce(~F.col("label").isin(list(names)), F.lit(True)))
 
 
 def min_support(df: DataFrame, n: int = 500) -> DataFrame:
     """Only classes with at least ``n`` rows.
 
-    Counted with map-side combination and joined back as a semi join, so a
-    class that holds most rows never meets in one task.
+    Counted with map-side combination; the frequent classes then filter the
+    rows in place, so a class that holds most rows never meets in one task.
     """
     frequent = df.groupBy("label").count().where(F.col("count") >= n).select("label")
-    return df.join(frequent, "label", "left_semi")
+    return df.join(scale.checked_broadcast(frequent), "label", "left_semi")
 
 
 # --- numbers -------------------------------------------------------------------

@@ -35,12 +35,16 @@ def fit_kmeans(
 ) -> KMeansModel:
     """Best of ``n_init`` starts by training cost; input has ``features``."""
     best = None
-    for start in range(n_init):
-        model = KMeans(k=k, maxIter=max_iter, seed=seed + start, featuresCol="features",
-                       predictionCol="cluster").fit(df)
-        if best is None or model.summary.trainingCost < best.summary.trainingCost:
-            best = model
-    return best
+    points = df.select("features").persist()  # read by every start and iteration
+    try:
+        for start in range(n_init):
+            model = KMeans(k=k, maxIter=max_iter, seed=seed + start, featuresCol="features",
+                           predictionCol="cluster").fit(points)
+            if best is None or model.summary.trainingCost < best.summary.trainingCost:
+                best = model
+        return best
+    finally:
+        points.unpersist()
 
 
 def kmeans(df: DataFrame, k: int = 8, **kw) -> DataFrame:
@@ -107,6 +111,7 @@ def davies_bouldin(df: DataFrame, cluster: str = "cluster") -> DataFrame:
     axes = range(D.dimensions(df))
     points = df.select(F.col(cluster).alias("c"), "vec")
     centers = points.groupBy("c").agg(F.array(*[F.avg(_at(i)) for i in axes]).alias("center"))
+    centers = scale.checked_broadcast(centers)
     spread = (
         points.join(centers, "c")
         .groupBy("c", "center")

@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowlab.operators import sampling
+from flowlab.operators import sampling, scale
 
 #: rows of a block in a block-wise comparison
 BLOCK_ROWS = 2_000
@@ -107,6 +107,7 @@ def near_pairs(
         .groupBy("cell")
         .agg(F.max("parts").alias("parts"))
     )
+    crowded = scale.checked_broadcast(crowded)
     parts = F.coalesce(F.col("parts"), F.lit(1))
 
     def spread(df, mine, other, key):

@@ -93,15 +93,11 @@ def split_flows(
     hot = scale.hot_groups(keyed, keys, hot_rows) if hot_rows is not None else []
     if not hot:
         return _describe(_local_pass(keyed, keys, timeout, split_on_fin), keys, carried=False)
-    chunk = F.when(
-        scale.is_hot(keys, hot), F.floor(F.col("ts") / F.lit(float(chunk_seconds)))
-    ).otherwise(F.lit(None).cast("long"))
-    chunked = keyed.withColumn("_chunk", F.struct(chunk.alias("c")))
+    chunk = F.when(F.col("_hot"), F.floor(F.col("ts") / F.lit(float(chunk_seconds))))
+    chunked = scale.mark_hot(keyed, keys, hot, "_hot").withColumn("_chunk", F.struct(chunk.alias("c")))
     group = [*keys, "_chunk"]
-    rows = _local_pass(chunked, group, timeout, split_on_fin)
-    hot_rows_only = _local_pass(
-        chunked.where(scale.is_hot(keys, hot)), group, timeout, split_on_fin
-    )
+    rows = _local_pass(chunked.drop("_hot"), group, timeout, split_on_fin)
+    hot_rows_only = _local_pass(chunked.where("_hot").drop("_hot"), group, timeout, split_on_fin)
     carry = _carries(hot_rows_only, keys, timeout)
     joined = rows.join(carry, group, "left")
     return _describe(joined, group, carried=True).drop("_chunk")

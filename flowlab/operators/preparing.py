@@ -105,8 +105,8 @@ def encode_labels(
 ) -> DataFrame:
     """Sorted names to codes 0, 1, ...; a label without a code is an error."""
     classes = list(classes) if classes is not None else class_names(df, label)
-    lookup = F.create_map(*[F.lit(x) for i, c in enumerate(classes) for x in (c, i)])
-    code = F.try_element_at(lookup, F.col(label))
+    position = F.array_position(F.array(*[F.lit(c) for c in classes]), F.col(label))
+    code = F.when(position > 0, (position - 1).cast("int"))
     unseen = F.raise_error(F.concat(F.lit("unseen label: "), F.coalesce(F.col(label), F.lit("NULL"))))
     return df.withColumn(out, F.coalesce(code, unseen.cast("int")))
 
@@ -138,7 +138,7 @@ def class_weights(df: DataFrame, label: str = "label") -> DataFrame:
 
 def attach_weights(df: DataFrame, label: str = "label", out: str = "weight") -> DataFrame:
     weights = class_weights(df, label).select(label, F.col("weight").alias(out))
-    return df.join(weights, label)
+    return df.join(scale.checked_broadcast(weights), label)
 
 
 # --- complete profiles --------------------------------------------------------------

@@ -182,7 +182,9 @@ def histogram(
         F.when(flat, F.col("_lo") - 0.5).otherwise(F.col("_lo")).alias("lo"),
         F.when(flat, F.col("_hi") + 0.5).otherwise(F.col("_hi")).alias("hi"),
     )
-    placed = data.join(ranges, F.col(by).eqNullSafe(F.col("_by")))
+    placed = data.join(
+        scale.checked_broadcast(ranges), F.col(by).eqNullSafe(F.col("_by"))
+    )
     step = (F.col("hi") - F.col("lo")) / bins
     number = F.least(F.floor((F.col("_v") - F.col("lo")) / step), F.lit(bins - 1)).cast("int")
     return (

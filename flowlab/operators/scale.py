@@ -20,10 +20,26 @@ TASK_ROWS = 5_000_000
 MAX_HOT_GROUPS = 10_000
 #: counters of the frequent-items sketch
 SKETCH_ITEMS = 100_000
+#: rows of a table that may be sent to every task
+BROADCAST_ROWS = 100_000
 #: most split points a range numbering uses
 MAX_SPLITS = 20_000
 
 
+def checked_broadcast(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` marked for broadcast if it has at most ``limit`` rows, else as is.
+
+    For tables with a row per class, cluster or file that meet a large table:
+    the planner cannot know that an aggregate is small and would shuffle the
+    large side by a key of which one value may hold most rows. The rows are
+    fetched once, so the small table is not computed again.
+    """
+    rows = df.limit(limit + 1).collect()
+    if len(rows) > limit:
+        return df
+    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+
+
 def hot_groups(df: DataFrame, keys: Sequence[str], hot_rows: int = TASK_ROWS) -> list[int]:
     """Hashes of the key groups that hold more than ``hot_rows`` rows.
 
@@ -42,9 +58,13 @@ def hot_groups(df: DataFrame, keys: Sequence[str], hot_rows: int = TASK_ROWS) ->
     return [r[0] for r in items.collect()]
 
 
-def is_hot(keys: Sequence[str], hashes: Sequence[int]) -> Column:
-    """Membership in a bounded list of hot group hashes (a hash set lookup)."""
-    return F.xxhash64(*keys).isin([int(h) for h in hashes])
+def mark_hot(df: DataFrame, keys: Sequence[str], hashes: Sequence[int], out: str) -> DataFrame:
+    """Whether a row belongs to a hot group; ``hashes`` is the bounded list above."""
+    listed = df.sparkSession.createDataFrame(
+        [(int(h), True) for h in hashes], f"_hash long, {out} boolean"
+    )
+    marked = df.withColumn("_hash", F.xxhash64(*keys)).join(F.broadcast(listed), "_hash", "left")
+    return marked.drop("_hash").withColumn(out, F.coalesce(out, F.lit(False)))
 
 
 def seeded_hash(seed: int, *ids: str) -> Column:

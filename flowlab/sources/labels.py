@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from flowlab.operators.scale import checked_broadcast
+
 
 def file_name(path: str):
     return F.element_at(F.split(F.col(path), "/"), -1)
@@ -47,4 +49,4 @@ def label_from_table(
         .groupBy(path)
         .agg(F.min_by("label", "ordinal").alias(out))
     )
-    return df.join(hits, path, "left").withColumn(out, F.coalesce(out, F.lit(default)))
+    return df.join(checked_broadcast(hits), path, "left").withColumn(out, F.coalesce(out, F.lit(default)))

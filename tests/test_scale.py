@@ -117,3 +117,22 @@ def test_auc_in_score_buckets(spark):
 def test_auc_needs_both_classes(spark):
     df = spark.createDataFrame([(1, 0.3), (1, 0.6)], "y_true int, s double")
     assert M.auc_ovr(df, {1: "s"}).first()[0] is None
+
+
+def test_checked_broadcast(spark):
+    small = spark.range(10).toDF("k")
+    big = spark.range(1000).selectExpr("id % 10 as k")
+    joined = big.join(scale.checked_broadcast(small), "k")
+    assert "BroadcastHashJoin" in joined._jdf.queryExecution().executedPlan().toString()
+    assert scale.checked_broadcast(small, limit=5).sameSemantics(small)
+
+
+def test_class_joins_do_not_shuffle_the_rows(skewed):
+    from flowlab.operators import cleaning as C
+    from flowlab.operators import preparing as R
+    from flowlab.operators import profiling as P
+
+    for df in (C.min_support(skewed, 100), R.attach_weights(skewed)):
+        assert "Exchange hashpartitioning" not in df._jdf.queryExecution().executedPlan().toString()
+    plan = P.histogram(skewed, "many")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1  # the final, pre-aggregated count
