@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from flowlab.session import use_utc
+from flowlab.session import ship_package, use_utc
 from flowlab.sources.tables import SQL_VIEWS
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def register(fn: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             use_utc(spark)
+            ship_package(spark)
             return fn(spark, sf_dir)
 
         if name in QUERIES:
