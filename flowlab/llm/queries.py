@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F  # noqa: F401
 
-from flowlab.llm import bpe, rules, simhash
+from flowlab.llm import bpe, mil, rules, simhash
 from flowlab.llm.common import table
 from flowlab.session import ship_package
 
@@ -63,3 +63,9 @@ def op5_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judge(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )
+
+
+@query("op4_mil")
+def op4_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, learned outside the held-out fold."""
+    return mil.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
