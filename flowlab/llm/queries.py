@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F  # noqa: F401
 
-from flowlab.llm import bpe, mil, rules, simhash
+from flowlab.llm import bpe, mil, mixing, rules, simhash
 from flowlab.llm.common import table
 from flowlab.session import ship_package
 
@@ -69,3 +69,9 @@ def op5_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document, learned outside the held-out fold."""
     return mil.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op7_mixing")
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that the mix takes."""
+    return mixing.taken(table(spark, sf_dir, "documents"))
