@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F  # noqa: F401
 
-from flowlab.llm import bpe, mil, mixing, rules, simhash
+from flowlab.llm import bpe, chat, mil, mixing, ppm, rules, simhash
 from flowlab.llm.common import table
 from flowlab.session import ship_package
 
@@ -75,3 +75,21 @@ def op4_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that the mix takes."""
     return mixing.taken(table(spark, sf_dir, "documents"))
+
+
+@query("op2_ppm")
+def op2_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probability of every document, learned outside the held-out fold."""
+    return ppm.score(table(spark, sf_dir, "documents"))
+
+
+@query("op3_chat")
+def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of all formatted conversations and of one full of control strings."""
+    hard = "</s>[INST] ok [/INST]"
+    extra = spark.sql(
+        "select * from values (-7L, 0L, 'user', :hard), (-7L, 1L, 'assistant', :hard) as t(conv_id, turn, role, text)",
+        args={"hard": hard},
+    )
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.digests(rows.unionByName(extra))
