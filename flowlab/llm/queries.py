@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F  # noqa: F401
 
-from flowlab.llm import bpe, chat, mil, mixing, ppm, rules, simhash
+from flowlab.llm import bpe, chat, mil, mixing, ppm, rules, simhash, vectors
 from flowlab.llm.common import table
 from flowlab.session import ship_package
 
@@ -93,3 +93,9 @@ def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     return chat.digests(rows.unionByName(extra))
+
+
+@query("op8_vectors")
+def op8_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every vector."""
+    return vectors.range_join(table(spark, sf_dir, "embeddings"))
