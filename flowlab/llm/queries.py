@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F  # noqa: F401
 
-from flowlab.llm import bpe, chat, mil, mixing, ppm, rules, simhash, vectors
+from flowlab.llm import bpe, chat, mil, mixing, ppm, rules, simhash, tokencount, vectors
 from flowlab.llm.common import table
 from flowlab.session import ship_package
 
@@ -99,3 +99,9 @@ def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and component of every vector."""
     return vectors.range_join(table(spark, sf_dir, "embeddings"))
+
+
+@query("op1_token_counts")
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document, found by scanning flat token files."""
+    return tokencount.count_documents(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.tiktoken"))
