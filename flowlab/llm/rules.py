@@ -135,7 +135,10 @@ def judge(docs: DataFrame, text: str = "text", key: str = "doc_id", rules=None)
 def passing(docs: DataFrame, text: str = "text", rules=None) -> DataFrame:
     """The rows of ``docs`` that are kept, with all their columns."""
     whole = docs.select(F.struct(*docs.columns).alias("__row"), F.col(text).alias("__text"))
-    return judge(whole, "__text", "__row", rules).where("kept").select("__row.*")
+    # A filter is not moved below a projection with a row number. Moved, it would
+    # hold a copy of all the counts for every time that one is mentioned.
+    judged = judge(whole, "__text", "__row", rules).withColumn("__number", F.monotonically_increasing_id())
+    return judged.where("kept and __number >= 0").select("__row.*")
 
 
 def sql(documents: str = "documents", rules=None) -> str:
