@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F  # noqa: F401
 
-from flowlab.llm import bpe, chat, mil, mixing, ppm, rules, simhash, tokencount, vectors
+from flowlab.llm import bpe, chat, html, mil, mixing, ppm, rules, simhash, tokencount, vectors
 from flowlab.llm.common import table
 from flowlab.session import ship_package
 
@@ -105,3 +105,9 @@ def op8_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document, found by scanning flat token files."""
     return tokencount.count_documents(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.tiktoken"))
+
+
+@query("op9_html")
+def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html.main_text(table(spark, sf_dir, "pages"))
