@@ -51,6 +51,9 @@ def distance(a: Column, b: Column) -> Column:
 # --- within a radius -------------------------------------------------------------
 
 def _cell(vec: Column, side: float, axes: int) -> Column:
+    # wider than eps by more than rounding: two points at a computed distance of
+    # eps may differ by a little more than eps on an axis
+    side = side * (1 + 1e-9)
     return F.array(
         *[F.floor(F.element_at(vec, i + 1) / F.lit(side)).cast("long") for i in range(axes)]
     )

@@ -226,7 +226,7 @@ def compare_models(
         (F.sum("hit") / F.sum("sup")).alias("accuracy"),
         (F.sum(f1 * F.col("sup")) / F.sum("sup")).alias("f1_weighted"),
     )
-    best = F.max_by(model, "f1_weighted").over(Window.partitionBy())  # one row per model
+    best = F.max_by(model, F.struct("f1_weighted", model)).over(Window.partitionBy())  # one row per model
     return table.withColumn("is_best", F.col(model) == best)
 
 

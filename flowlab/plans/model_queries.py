@@ -221,7 +221,7 @@ MODEL_ROWS = ("models", """select 'a' as model, y_true, y_pred from predictions
 
 
 @query("compare_models", pred_sql("""
-select model, round(acc, 9) as accuracy, round(f1, 9) as f1_weighted, f1 = max(f1) over () as is_best from (
+select model, round(acc, 9) as accuracy, round(f1, 9) as f1_weighted, row_number() over (order by f1 desc, model desc) = 1 as is_best from (
  select model, sum(hit) / sum(sup) as acc, sum(sup * 2 * hit / (sup + pre)) / sum(sup) as f1 from (
   select model, c, cast(sum(sup) as double) as sup, sum(pre) as pre, sum(hit) as hit from (
    select model, y_true as c, 1 as sup, 0 as pre, cast(y_true = y_pred as integer) as hit from models

@@ -148,7 +148,8 @@ def _callback(spark, sf):
     stream = spark.readStream.schema(results.schema).parquet(f"{folder}/results")
 
     def count(batch, batch_id):
-        P.class_counts(batch, "predicted_class").write.mode("append").parquet(f"{folder}/counts")
+        # a batch that is repeated after a failure replaces what it has written
+        P.class_counts(batch, "predicted_class").write.mode("overwrite").parquet(f"{folder}/counts/batch={batch_id}")
 
     scoring.start(stream, count, f"{folder}/state", available_now=True).awaitTermination()
     return spark.read.parquet(f"{folder}/counts").groupBy("predicted_class").agg(F.sum("n").alias("n"))
@@ -208,7 +209,9 @@ def write_captures(spark, sf, folder):
         for pdf in batches:
             pdf = pdf.sort_values(["ts", "packet_id"])
             parts = [struct.pack("<IHHiIII", 0xA1B2C3D4, 2, 4, 0, 0, 65_535, 1)]
-            for row in pdf.itertuples(index=False):
+            for i, row in enumerate(pdf.itertuples(index=False)):
+                if i == len(pdf) // 2:  # a record that does not say how long it is
+                    parts.append(struct.pack("<IIII", 0, 0, 0xFFFFFFFF, 0xFFFFFFFF) + b"\xee" * 100)
                 data = _frame(row)
                 micros = int(np.floor(row.ts * 1e6))
                 parts.append(struct.pack("<IIII", micros // 1_000_000, micros % 1_000_000, len(data), len(data)) + data)
@@ -224,7 +227,8 @@ select round(ts, 6) as ts, src_ip, dst_ip, src_port, dst_port, protocol, size_of
  case when protocol = 6 then tcp_flags else 0 end as tcp_flags, 'streaming' as label
  from (select *, greatest(size, 14 + case protocol when 1 then 24 else header_size end) as size_of from capture)"""))
 def _pcap_packets(spark, sf):
-    """Captures written from the packets, read back in ranges of 20 kB."""
+    """Captures written from the packets, each with a damaged record between
+    its packets, read back in ranges of 20 kB."""
     folder = shared_folder(spark)
     write_captures(spark, sf, folder)
     packets, _ = pcap.read_pcap(spark, folder, {"video": "streaming"}, range_bytes=20_000)
@@ -268,13 +272,36 @@ def _by_name(spark, sf):
     return df.select(F.col("row_id").cast("long").alias("row_id"), F.col("Count").alias("count_text"), F.col("Back").alias("back_text"))
 
 
-@query("read_tolerant", with_views("cic_raw", then="select count(*) as n, cast(1 as bigint) as rejected from cic_raw where row_id % 2 = 0"))
+@query("read_tolerant", with_views("cic_raw", then="""
+select case when row_id % 4 = 3 then 'rejected' else 'read' end as outcome, row_id % 4 as part,
+ case when row_id % 4 = 3 then 0 else count(*) end as n, cast(case when row_id % 4 = 3 then 1 else 0 end as bigint) as rejects
+from cic_raw group by row_id % 4"""))
 def _tolerant(spark, sf):
+    """All rows in four files of one folder; the last file is cut in the middle."""
     folder = shared_folder(spark)
-    t.cic_raw(spark, sf).where("row_id % 2 = 0").write.parquet(f"{folder}/good")
-    spark.range(1).selectExpr("'not parquet' as value").write.text(f"{folder}/bad")
-    rows, rejects = files.read_tolerant(spark, [f"{folder}/good", f"{folder}/bad"])
-    return rows.agg(F.count("*").alias("n")).withColumn("rejected", F.lit(rejects.count()))
+    raw = t.cic_raw(spark, sf)
+    for part in range(4):
+        raw.where(F.col("row_id") % 4 == part).coalesce(1).write.parquet(f"{folder}/p{part}")
+    last = files.list_files(spark, f"{folder}/p3", "*.parquet").first()
+
+    def cut(batches):
+        for pdf in batches:
+            for path, length in pdf[["path", "length"]].itertuples(index=False):
+                with files.open_input(path) as f:
+                    data = f.read(length)
+                middle = length // 2
+                files.write_bytes(f"{path.rsplit('/', 2)[0]}/p2/cut.parquet", data[:middle] + b"\0" * 64 + data[middle + 64 :])
+            yield pdf
+
+    spark.createDataFrame([tuple(last)], "path string, length long").mapInPandas(cut, "path string, length long").collect()
+    rows, rejects = files.read_tolerant(spark, [f"{folder}/p{part}" for part in range(3)])
+    read = rows.groupBy((F.col("row_id") % 4).alias("part")).agg(F.count("*").alias("n")).select(
+        F.lit("read").alias("outcome"), "part", "n", F.lit(0).cast("long").alias("rejects")
+    )
+    lost = rejects.agg(F.count("*").alias("rejects")).select(
+        F.lit("rejected").alias("outcome"), F.lit(3).cast("long").alias("part"), F.lit(0).cast("long").alias("n"), "rejects"
+    )
+    return read.unionByName(lost)
 
 
 @query("synthetic_flows")

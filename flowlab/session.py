@@ -56,12 +56,15 @@ def ship_package(spark: SparkSession) -> None:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The reliable folder named by the cluster.
 
-    Only where none is configured (a local test run) a temporary one is made.
+    Only where none is configured and all tasks run in this process (a local
+    test run) a temporary one is made; on a cluster that is an error.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
+    if not configured and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     folder = configured or tempfile.mkdtemp(prefix="flowlab-checkpoint-")
     spark.sparkContext.setCheckpointDir(folder)
     return folder

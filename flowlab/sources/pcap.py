@@ -5,8 +5,9 @@ each file is cut into byte ranges that are read by different tasks. A range
 starts at the first record found in it: a position from which a chain of
 plausible records runs for longer than any single record can be (or to the end
 of the file), so packet contents that look like records cannot pass. A range
-ends where the next one starts, and its reader checks that its records end
-exactly there.
+ends where the next one starts. Where its records do not follow each other up
+to there, its reader keeps the whole ones, reports the damaged bytes as a row
+with an error and goes on at the next chain of records.
 """
 
 from __future__ import annotations
@@ -57,15 +58,14 @@ MAX_RECORD = 262_144
 # --- file heads and record chains ------------------------------------------------
 
 def _head(data: bytes) -> dict:
-    """Format, byte order and, for pcap, clock, link type and first second."""
+    """Format, byte order and, for pcap, clock and link type."""
     magic = data[:4]
     if magic in PCAP_MAGIC and len(data) >= 24:
         order, ticks = PCAP_MAGIC[magic]
         snaplen, link = struct.unpack_from(order + "II", data, 16)
-        first = struct.unpack_from(order + "I", data, 24)[0] if len(data) >= 28 else None
         limit = min(max(snaplen or MAX_RECORD, 65_535), 4 * MAX_RECORD)
         return {"kind": "pcap", "order": order, "ticks": ticks, "link": link & 0x0FFFFFFF,
-                "limit": limit, "first": first, "body": 24}
+                "limit": limit, "body": 24}
     if magic == b"\x0a\x0d\x0d\x0a" and len(data) >= 12:
         order = {b"\x4d\x3c\x2b\x1a": "<", b"\x1a\x2b\x3c\x4d": ">"}.get(data[8:12])
         if order:
@@ -79,10 +79,10 @@ def _next(head: dict, data: bytes, at: int, size_left: int) -> int | None:
     if head["kind"] == "pcap":
         if at + 16 > len(data):
             return None
-        sec, frac, caught, wire = struct.unpack_from(order + "IIII", data, at)
+        _, frac, caught, wire = struct.unpack_from(order + "IIII", data, at)
         if frac >= head["ticks"] or caught > head["limit"] or caught > wire or not caught:
             return None
-        if wire > 1 << 24 or abs(sec - head["first"]) > 366 * 86_400:
+        if wire > 1 << 24:
             return None
         return 16 + caught
     if at + 12 > len(data):
@@ -106,29 +106,57 @@ def _find_start(head: dict, data: bytes, lo: int, size: int, hi: int) -> int | N
     if lo <= head["body"]:
         return head["body"]
     needed = head["limit"] + 64
+    cut = None  # (records, offset) of the best chain that the end of the file cuts
     for at in range(0, min(hi - lo, len(data))):
-        position, ok = at, True
-        while position - at <= needed:
-            if lo + position >= size:
-                break  # reached the end of the file
+        position, records = at, 0
+        while position - at <= needed and lo + position < size:
             step = _next(head, data, position, size - lo - position)
-            if step is None:
-                # a truncated last record is not an error
-                ok = position > at and size - (lo + position) < head["limit"] and lo + len(data) >= size and (
-                    size - (lo + position) < 16 or _cut_record(head, data, position)
-                )
+            if step is None or lo + position + step > size:
                 break
             position += step
-        if ok:
-            return lo + at
-    return None
+            records += 1
+        else:
+            return lo + _likeliest(head, data, at)
+        # a truncated last record is not an error, but few records before it may
+        # be packet contents that look like them
+        left = size - (lo + position)
+        if records and left < head["limit"] and lo + len(data) >= size and (left < 16 or _cut_record(head, data, position)):
+            if records >= 16:
+                return lo + _likeliest(head, data, at)
+            if cut is None or records > cut[0]:
+                cut = (records, at)
+    return None if cut is None else lo + _likeliest(head, data, cut[1])
+
+
+def _likeliest(head: dict, data: bytes, at: int) -> int:
+    """Of all records that end where the one at ``at`` ends, the likeliest.
+
+    Small numbers beside a header can look like one that is shifted by some
+    bytes. A header that tells the same length twice is preferred, then one
+    whose time is nearest to that of the next record.
+    """
+    if head["kind"] != "pcap":
+        return at
+    end = at + (_next(head, data, at, len(data) - at) or 0)
+    order = head["order"]
+    if end + 16 > len(data):
+        after = None
+    else:
+        after = struct.unpack_from(order + "I", data, end)[0]
+
+    def key(q):
+        sec, _, caught, wire = struct.unpack_from(order + "IIII", data, q)
+        return caught == wire, 0 if after is None else -abs(sec - after)
+
+    near = [q for q in _candidates(head, data, at, end) if q + (_next(head, data, q, len(data) - q) or 0) == end]
+    return max(near, key=key, default=at)
 
 
 def _cut_record(head: dict, data: bytes, at: int) -> bool:
     """A record header at the end of the file whose bytes are missing."""
     if head["kind"] == "pcap" and at + 16 <= len(data):
         _, frac, caught, wire = struct.unpack_from(head["order"] + "IIII", data, at)
-        return frac < head["ticks"] and 0 < caught <= wire and at + 16 + caught > len(data)
+        return frac < head["ticks"] and 0 < caught <= min(wire, head["limit"]) and at + 16 + caught > len(data)
     if head["kind"] == "pcapng" and at + 8 <= len(data):
         _, length = struct.unpack_from(head["order"] + "II", data, at)
         return at + length > len(data)
@@ -193,29 +221,105 @@ def _locate(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 # --- decoding --------------------------------------------------------------------------
 
-def _walk_pcap(data: bytes, head: dict):
-    at, rows = 0, []
+def _run(head: dict, data: bytes, at: int, most: int | None = None) -> int:
+    """End of the whole, plausible records that follow each other from ``at``."""
+    start = at
+    while at < len(data) and (most is None or at - start < most):
+        step = _next(head, data, at, len(data) - at)
+        if step is None or at + step > len(data):
+            break
+        at += step
+    return at
+
+
+def _candidates(head: dict, data: bytes, lo: int, hi: int) -> list[int]:
+    """Offsets in [lo, hi) where a record header could be, found vectorised."""
+    width = 16 if head["kind"] == "pcap" else 12
+    hi = min(hi, len(data) - width + 1)
+    if hi <= lo:
+        return []
+    raw = np.frombuffer(data, np.uint8, hi - lo + width - 1, lo).astype(np.int64)
+
+    def number(shift):
+        parts = [raw[shift + k : shift + k + hi - lo] for k in range(4)]
+        if head["order"] == ">":
+            parts.reverse()
+        return parts[0] | parts[1] << 8 | parts[2] << 16 | parts[3] << 24
+
+    if head["kind"] == "pcap":
+        caught = number(8)
+        good = (caught > 0) & (caught <= head["limit"]) & (number(4) < head["ticks"]) & (number(12) >= caught)
+    else:
+        length, kind = number(4), number(0)
+        good = (length >= 12) & (length <= head["limit"]) & (length % 4 == 0) & ((kind <= 0xC) | (kind == SECTION))
+    return (np.flatnonzero(good) + lo).tolist()
+
+
+def _resume(head: dict, data: bytes, at: int) -> int | None:
+    """Next record after damage at ``at``: the first from which a chain runs
+    for longer than any record, or exactly to the end of the data. Where more
+    damage is near, the first from which three records follow each other."""
+    needed, window = head["limit"] + 64, 1 << 20
+    for lo in range(at + 1, len(data), window):
+        weak = None
+        for c in _candidates(head, data, lo, lo + window):
+            end = _run(head, data, c, needed)
+            if end - c >= needed or (end == len(data) and end > c):
+                return _likeliest(head, data, c)
+            if weak is None and _records(head, data, c, end) >= 3:
+                weak = c
+        if weak is not None:
+            return weak
+    return None
+
+
+def _records(head: dict, data: bytes, at: int, end: int) -> int:
+    n = 0
+    while at < end:
+        at += _next(head, data, at, len(data) - at)
+        n += 1
+    return n
+
+
+def _intact(head: dict, data: bytes, last: bool) -> tuple[list, list]:
+    """Stretches of whole records, and the damaged ones between them.
+
+    A record that the end of the file cuts off is neither: the capture just
+    stopped there.
+    """
+    whole, damaged, at = [], [], 0
+    while at < len(data):
+        end = _run(head, data, at)
+        if end > at:
+            whole.append((at, end))
+        if end >= len(data):
+            break
+        at = _resume(head, data, end)
+        if at is None:
+            if not (last and _cut_record(head, data, end)):
+                damaged.append((end, len(data)))
+            break
+        damaged.append((end, at))
+    return whole, damaged
+
+
+def _walk_pcap(data: bytes, head: dict, at: int, end: int):
+    rows = []
     order, ticks = struct.Struct(head["order"] + "IIII"), head["ticks"]
-    end = len(data)
-    while at + 16 <= end:
+    while at < end:
         sec, frac, caught, _ = order.unpack_from(data, at)
-        if at + 16 + caught > end:
-            break
         rows.append((at, at + 16, caught, sec + frac / ticks, head["link"]))
         at += 16 + caught
-    return rows, at
+    return rows
 
 
-def _walk_pcapng(data: bytes, head: dict, before: list):
-    at, rows, order = 0, [], head["order"]
-    links = _apply([], before)
-    end = len(data)
-    while at + 12 <= end:
+def _walk_pcapng(data: bytes, head: dict, at: int, end: int, links: list):
+    """Packets between two offsets; ``links``, the interfaces, is kept up."""
+    rows, order = [], head["order"]
+    while at < end:
         kind, length = struct.unpack_from(order + "II", data, at)
-        if length < 12 or at + length > end:
-            break
         if kind == SECTION:
-            links = []
+            links.clear()
         elif kind == INTERFACE:
             links.append(_interface(data[at : at + length], order))
         elif kind in (ENHANCED, OLD_PACKET):
@@ -230,7 +334,7 @@ def _walk_pcapng(data: bytes, head: dict, before: list):
             wire = struct.unpack_from(order + "I", data, at + 8)[0]
             rows.append((at, at + 12, min(wire, length - 16), 0.0, links[0][0] if links else 1))
         at += length
-    return rows, at
+    return rows
 
 
 def _apply(links: list, events: list) -> list:
@@ -301,9 +405,11 @@ def _decode(data: bytes, rows: list, base: int) -> pd.DataFrame:
     )
 
 
+_FRAME_KINDS = {n: {"long": "Int64", "int": "Int32", "double": "float64", "string": "object"}[k] for n, k in PACKET_FIELDS}
+
+
 def _reject(at: int, error: str) -> pd.DataFrame:
-    kinds = {"long": "Int64", "int": "Int32", "double": "float64", "string": "object"}
-    row = {n: pd.Series([None], dtype=kinds[k]) for n, k in PACKET_FIELDS}
+    row = {n: pd.Series([None], dtype=k) for n, k in _FRAME_KINDS.items()}
     return pd.DataFrame(row | {"packet_id": [at], "error": [error]})
 
 
@@ -318,19 +424,21 @@ def _read_ranges(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 with files.open_input(row.path) as f:
                     f.seek(int(row.start))
                     data = f.read(int(row.stop - row.start))
-                if head["kind"] == "pcap":
-                    rows, read = _walk_pcap(data, head)
-                else:
-                    before = [e for part in row.before for e in json.loads(part)]
-                    rows, read = _walk_pcapng(data, head, before)
-                if read != len(data) and not row.is_last:
-                    raise ValueError(f"records do not meet at byte {row.stop}")
+                whole, damaged = _intact(head, data, bool(row.is_last))
+                links = _apply([], [e for part in row.before for e in json.loads(part)])
+                rows = []
+                for a, b in whole:
+                    rows += _walk_pcap(data, head, a, b) if head["kind"] == "pcap" else _walk_pcapng(data, head, a, b, links)
                 out = _decode(data, rows, int(row.start))
                 out["error"] = None
+                if damaged:
+                    start = int(row.start)
+                    lost = [_reject(start + a, f"damaged bytes {start + a} to {start + b}") for a, b in damaged]
+                    out = pd.concat([*([out] if len(out) else []), *lost], ignore_index=True)
             except Exception as e:  # noqa: BLE001 - reported as a row
                 out = _reject(int(row.lo), f"{type(e).__name__}: {e}"[:500])
             out["source_file"] = row.path
-            yield out[columns]
+            yield out[columns].astype(_FRAME_KINDS)
 
 
 # --- the source -----------------------------------------------------------------------------
@@ -368,12 +476,13 @@ def read_pcap(
     label_map: Mapping[str, str] | None = None,
     range_bytes: int = RANGE_BYTES,
 ) -> tuple[DataFrame, DataFrame]:
-    """Packets on the canonical schema with a label by file name, and rejects."""
+    """Packets on the canonical schema with a label by file name, and rejects:
+    path, offset and error of every unreadable file and damaged stretch."""
     decoded = read_captures(spark, path, range_bytes)
     good = decoded.where(F.col("error").isNull()).drop("error")
     packets = label_from_path(fl.packet_fields(good), label_map)
     rejects = decoded.where(F.col("error").isNotNull()).select(
-        F.col("source_file").alias("path"), "error"
+        F.col("source_file").alias("path"), F.col("packet_id").alias("offset"), "error"
     )
     return packets, rejects
 

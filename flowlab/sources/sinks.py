@@ -54,7 +54,7 @@ def report_table(metrics: DataFrame, classes: Sequence[str], test_size: int) ->
     f1 = F.try_element_at("metrics", F.lit("f1_weighted"))
     from pyspark.sql import Window
 
-    best = F.max_by("model", f1).over(Window.partitionBy())  # one row per model
+    best = F.max_by("model", F.struct(f1.alias("f1"), "model")).over(Window.partitionBy())  # one row per model
     return per_model.withColumns(
         {
             "is_best": F.col("model") == best,

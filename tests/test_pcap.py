@@ -145,3 +145,54 @@ def test_labels_and_flows_per_file(spark, tmp_path):
     assert [r.n_packets for r in merged.collect()] == [18]
     auto = datasets.load_dataset(spark, str(tmp_path))
     assert auto.count() == 3
+
+
+def plain(n):
+    """Frames without a capture inside: one that ends with its packet cannot be
+    told from the records that follow it."""
+    return [f for i, f in enumerate(many(n + n // 49 + 1)) if i % 50][:n]
+
+
+def damaged(data, frames, n):
+    """``data`` with the lengths in the header of packet ``n`` overwritten."""
+    at = 24 + sum(16 + len(f) for f in frames[:n])
+    return data[: at + 8] + b"\xff" * 8 + data[at + 16 :]
+
+
+@pytest.mark.parametrize("n, at, range_bytes", [(100, 60, 64 << 20), (100, 99, 64 << 20), (100, 1, 64 << 20), (3000, 1234, 50_000), (3000, 2998, 50_000)])
+def test_one_damaged_record_loses_one_packet(spark, tmp_path, n, at, range_bytes):
+    frames = plain(n)
+    (tmp_path / "a.pcap").write_bytes(damaged(pcap_bytes(frames), frames, at))
+    rows, rejects = read(spark, tmp_path, range_bytes=range_bytes)
+    offsets = [24]
+    for f in frames:
+        offsets.append(offsets[-1] + 16 + len(f))
+    assert [r.packet_id for r in rows] == offsets[:at] + offsets[at + 1 : -1]
+    assert [(r.path.rsplit("/", 1)[1], r.offset) for r in rejects] == [("a.pcap", offsets[at])]
+
+
+def test_damage_in_several_places(spark, tmp_path):
+    frames = plain(2000)
+    data = pcap_bytes(frames)
+    for at in (10, 700, 701, 1500):
+        data = damaged(data, frames, at)
+    (tmp_path / "a.pcap").write_bytes(data)
+    rows, rejects = read(spark, tmp_path, range_bytes=80_000)
+    assert len(rows) == 1996 and len(rejects) == 3
+
+
+def test_damaged_blocks_of_pcapng(spark, tmp_path):
+    frames = plain(600)
+    data = pcapng_bytes(frames)
+    at = data.index(struct.pack("<I", 6), len(data) // 2)  # somewhere in the middle
+    (tmp_path / "a.pcapng").write_bytes(data[:at] + b"\xee" * 40 + data[at + 40 :])
+    rows, rejects = read(spark, tmp_path, range_bytes=60_000)
+    assert 598 <= len(rows) <= 599 and len(rejects) == 1
+
+
+def test_a_clock_that_was_not_set(spark, tmp_path):
+    frames = plain(1500)
+    data = pcap_bytes(frames)
+    (tmp_path / "a.pcap").write_bytes(data[:24] + b"\0\0\0\0" + data[28:])
+    rows, rejects = read(spark, tmp_path, range_bytes=50_000)
+    assert not rejects and len(rows) == 1500
