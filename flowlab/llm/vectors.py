@@ -45,46 +45,57 @@ COSINE = 0.95
 #: vectors that pivots are chosen from
 PIVOT_SAMPLE = 20_000
 #: home vectors a cell should have; the number of pivots follows
-CELL_ROWS = 400
+CELL_ROWS = 8_192
 MOST_PIVOTS = 1_024
 #: points of one part of a crowded cell
-PART_ROWS = 2_048
+PART_ROWS = 16_384
+#: vectors that are dealt, and rows of a cell that are compared, at once
+STEP = 256
 #: slack of a distance for rounding
 SLACK = 1e-7
 
 
 def points_of(rows: DataFrame, key: str, vector: str) -> DataFrame:
-    """``_row``, ``_key`` and ``_unit`` (64-bit floats as bytes, null if unusable)."""
+    """``_row``, ``_key`` and ``_raw``: the components as bytes, behind their
+    width; null if the vector links with nothing."""
+    single = rows.schema[vector].dataType.simpleString() == "array<float>"
     source = rows.select(
-        F.monotonically_increasing_id().alias("_row"), F.col(key).alias("_key"), F.col(vector).cast("array<double>").alias("v")
+        F.monotonically_increasing_id().alias("_row"),
+        F.col(key).alias("_key"),
+        (F.col(vector) if single else F.col(vector).cast("array<double>")).alias("v"),
     )
     kind = source.schema["_key"].dataType.simpleString()
+    width, tag = ("<f4", b"4") if single else ("<f8", b"8")
 
-    def scale(batches):
+    def pack(batches):
         for batch in batches:
-            units = []
+            packed = []
             for value in batch.column(2).to_pylist():
-                unit = None
+                raw = None
                 if value and None not in value:
-                    v = np.array(value)
-                    with np.errstate(over="ignore", invalid="ignore"):
-                        # a power of two first: no over- or underflow of squares
-                        top = np.abs(v).max()
-                        if np.isfinite(top) and top > 0:
-                            v = np.ldexp(v, -int(np.frexp(top)[1]))
-                            unit = (v / math.sqrt(float(v @ v)) + 0.0).tobytes()
-                units.append(unit)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(units, pa.binary())], names=["_row", "_key", "_unit"])
+                    v = np.array(value, dtype=width)
+                    if np.isfinite(v).all() and v.any():
+                        raw = tag + v.tobytes()
+                packed.append(raw)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(packed, pa.binary())], names=["_row", "_key", "_raw"])
 
-    return source.mapInArrow(scale, f"_row long, _key {kind}, _unit binary")
+    return source.mapInArrow(pack, f"_row long, _key {kind}, _raw binary")
 
 
-def choose_pivots(points: DataFrame, n: int, dims: int) -> np.ndarray:
-    """Pivots for vectors of ``dims`` components: far apart in a sample chosen
+def units(packed: list[bytes]) -> np.ndarray:
+    """Vectors of length one in double precision; all of one dimension."""
+    x = np.array([np.frombuffer(p, "<f" + p[:1].decode(), offset=1) for p in packed], dtype=np.float64)
+    # a power of two first: squares neither overflow nor vanish
+    x = np.ldexp(x, -np.frexp(np.abs(x).max(axis=1))[1][:, None])
+    return x / np.sqrt((x * x).sum(axis=1))[:, None]
+
+
+def choose_pivots(points: DataFrame, n: int) -> np.ndarray:
+    """Pivots for ``n`` vectors of one dimension: far apart in a sample chosen
     by hash, then moved to the middle of what they are nearest to."""
     wanted = int(min(MOST_PIVOTS, max(1, math.ceil(n / CELL_ROWS))))
-    sample = points.orderBy(F.xxhash64("_unit"), "_unit").limit(PIVOT_SAMPLE).select("_unit").collect()
-    x = np.array([np.frombuffer(r[0]) for r in sample])
+    sample = points.select("_raw").orderBy(F.xxhash64("_raw"), "_raw").limit(PIVOT_SAMPLE).collect()
+    x = units([bytes(r[0]) for r in sample])
     chosen = [0]
     nearest = x @ x[0]
     while len(chosen) < min(wanted, len(x)):
@@ -103,49 +114,43 @@ def choose_pivots(points: DataFrame, n: int, dims: int) -> np.ndarray:
     return pivots
 
 
-def _units(column: pa.Array) -> np.ndarray:
-    values = column.to_pylist()
-    return np.frombuffer(b"".join(values)).reshape(len(values), -1)
-
-
 def _distances(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     square = (x * x).sum(axis=1)[:, None] + (pivots * pivots).sum(axis=1)[None, :] - 2 * x @ pivots.T
     return np.sqrt(np.maximum(square, 0))
 
 
 def _cells(points: DataFrame, pivots: np.ndarray, reach: float) -> DataFrame:
-    """``_point, _unit, _n, cell, home``: each point in its cell and, as a
+    """``_point, _raw, _n, cell, home``: each point in its cell and, as a
     copy, in all cells that may hold partners."""
     shared = points.sparkSession.sparkContext.broadcast(pivots)
 
-    def homes(batches):
+    def steps(batches):
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            d = _distances(_units(batch.column(0)), shared.value)
-            home = d.argmin(axis=1)
+            for at in range(0, batch.num_rows, STEP):
+                part = batch.slice(at, STEP)
+                d = _distances(units(part.column("_raw").to_pylist()), shared.value)
+                yield part, d, d.argmin(axis=1)
+
+    def homes(batches):
+        for _, d, home in steps(batches):
             yield pa.RecordBatch.from_arrays([pa.array(home), pa.array(d[np.arange(len(home)), home])], names=["cell", "d"])
 
     radius = np.full(len(pivots), -1.0)
-    for r in points.select("_unit").mapInArrow(homes, "cell long, d double").groupBy("cell").agg(F.max("d").alias("d")).collect():
+    for r in points.select("_raw").mapInArrow(homes, "cell long, d double").groupBy("cell").agg(F.max("d").alias("d")).collect():
         radius[r.cell] = r.d  # one row per pivot
 
     def deal(batches):
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            d = _distances(_units(batch.column("_unit")), shared.value)
-            home = d.argmin(axis=1)
+        for part, d, home in steps(batches):
             own = d[np.arange(len(home)), home][:, None]
             near = (d <= own + 2 * reach + SLACK) & (d <= radius[None, :] + reach + SLACK)
             near[np.arange(len(home)), home] = True
             row, cell = np.nonzero(near)
-            out = batch.take(pa.array(row))
+            out = part.take(pa.array(row))
             yield pa.RecordBatch.from_arrays(
-                [*out.columns, pa.array(cell), pa.array(cell == home[row])], names=[*batch.schema.names, "cell", "home"]
+                [*out.columns, pa.array(cell), pa.array(cell == home[row])], names=[*part.schema.names, "cell", "home"]
             )
 
-    return points.select("_point", "_unit", "_n").mapInArrow(deal, "_point long, _unit binary, _n long, cell long, home boolean")
+    return points.select("_point", "_raw", "_n").mapInArrow(deal, "_point long, _raw binary, _n long, cell long, home boolean")
 
 
 def _parted(dealt: DataFrame) -> DataFrame:
@@ -157,9 +162,9 @@ def _parted(dealt: DataFrame) -> DataFrame:
     tag = lambda a, b: F.struct(F.col("cell").alias("c"), a.alias("a"), b.alias("b"))
     part = lambda n: F.pmod(F.xxhash64("_point"), F.greatest(F.col(n), F.lit(1))).cast("int")
     asks = known.where("home").withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("mp") - 1)))
-    asks = asks.select(tag(part("hp"), F.col("_other")).alias("task"), "_point", "_unit", "_n", F.lit(True).alias("asks"))
+    asks = asks.select(tag(part("hp"), F.col("_other")).alias("task"), "_point", "_raw", "_n", F.lit(True).alias("asks"))
     answers = known.where("hp > 0").withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("hp") - 1)))
-    answers = answers.select(tag(F.col("_other"), part("mp")).alias("task"), "_point", "_unit", "_n", F.lit(False).alias("asks"))
+    answers = answers.select(tag(F.col("_other"), part("mp")).alias("task"), "_point", "_raw", "_n", F.lit(False).alias("asks"))
     return asks.unionByName(answers)
 
 
@@ -167,44 +172,40 @@ def _join_cell(cosine: float):
     def join(table: pa.Table) -> pa.Table:
         asks = table.column("asks").to_numpy(zero_copy_only=False)
         point, n = table.column("_point").to_numpy(), table.column("_n").to_numpy()
-        unit = _units(table.column("_unit"))
         a, b = np.flatnonzero(asks), np.flatnonzero(~asks)
+        unit = units(table.column("_raw").to_pylist()) if len(asks) else np.zeros((0, 1))
+        asking, answering = unit[a], unit[b].T
         partners = np.zeros(len(a), np.int64)
         u, v = [], []
-        root = np.arange(len(b))  # forest among the answers, by label
-        at_b = {p: i for i, p in enumerate(point[b].tolist())}
-        label_of_a = np.full(len(a), -1)
-        for i, p in enumerate(point[a].tolist()):
-            label_of_a[i] = at_b.get(p, -1)
-        for start in range(0, len(a), 256):
-            some = slice(start, start + 256)
-            near = unit[a[some]] @ unit[b].T >= cosine
-            partners[some] = near.astype(np.int64) @ n[b]
-            for i in range(near.shape[0]):
-                found = np.flatnonzero(near[i])
-                if not len(found):
+        root = np.arange(len(b))  # groups of the answers that are joined so far
+        place = {p: i for i, p in enumerate(point[b].tolist())}
+        for start in range(0, len(a), STEP):
+            near = asking[start : start + STEP] @ answering >= cosine
+            row, found = np.nonzero(near)
+            partners[start : start + STEP] = np.bincount(row, weights=n[b[found]], minlength=len(near)).astype(np.int64)
+            cuts = np.searchsorted(row, np.arange(len(near) + 1))
+            # a point whose only partner is itself joins nothing
+            for i in np.flatnonzero(np.diff(cuts)).tolist():
+                partner = found[cuts[i] : cuts[i + 1]]
+                me = int(point[a[start + i]])
+                if len(partner) == 1 and point[b[partner[0]]] == me:
                     continue
-                # join the answers' groups that this point connects
-                groups, first = np.unique(root[found], return_index=True)
-                me = point[a[start + i]]
-                other = point[b[found[first]]]
-                own = label_of_a[start + i]
-                keep = other != me
-                if len(groups) == 1 and own >= 0:
-                    # one group, the point included: nothing new unless apart
-                    keep &= root[own] != groups
-                u.extend([me] * int(keep.sum()))
-                v.extend(other[keep].tolist())
+                groups, first = np.unique(root[partner], return_index=True)
+                own = place.get(me, -1)
+                for g, k in zip(groups.tolist(), first.tolist()):
+                    other = int(point[b[partner[k]]])
+                    if other != me and (own < 0 or root[own] != g):
+                        u.append(me)
+                        v.append(other)
                 if len(groups) > 1:
                     root[np.isin(root, groups)] = groups[0]
-        rows = len(a) + len(u)
         return pa.table(
             {
                 "_point": pa.array(np.concatenate([point[a], np.array(u, np.int64)]), pa.int64()),
                 "partners": pa.array(np.concatenate([partners, np.zeros(len(u), np.int64)]), pa.int64()),
                 "other": pa.array([None] * len(a) + v, pa.int64()),
             }
-        ).slice(0, rows)
+        )
 
     return join
 
@@ -213,15 +214,15 @@ def range_join(rows: DataFrame, key: str = "vec_id", vector: str = "embedding",
     """``key``, n_links, component_id, kept of each row."""
     reach = math.sqrt(max(2 - 2 * cosine, 0))
     all_rows = stored(points_of(rows, key, vector), "vectors")
-    usable = all_rows.where(F.col("_unit").isNotNull())
+    usable = all_rows.where(F.col("_raw").isNotNull())
     distinct = stored(
-        usable.groupBy("_unit").agg(F.count(F.lit(1)).alias("_n"), F.min("_key").alias("_least"), F.min("_row").alias("_point")), "distinct"
+        usable.groupBy("_raw").agg(F.count(F.lit(1)).alias("_n"), F.min("_key").alias("_least"), F.min("_row").alias("_point")), "distinct"
     )
-    widths = distinct.groupBy(F.length("_unit").alias("w")).agg(F.count(F.lit(1)).alias("n")).collect()  # one row per dimension
+    widths = distinct.groupBy(F.length("_raw").alias("w")).agg(F.count(F.lit(1)).alias("n")).collect()  # one row per dimension
     answered = None
     for width, n in sorted(tuple(w) for w in widths):
-        same = distinct.where(F.length("_unit") == width)
-        dealt = stored(_cells(same, choose_pivots(same, n, width // 8), reach), "cells")
+        same = distinct.where(F.length("_raw") == width)
+        dealt = _cells(same, choose_pivots(same, n), reach)
         part = _parted(dealt).groupBy("task").applyInArrow(_join_cell(cosine), "_point long, partners long, other long")
         answered = part if answered is None else answered.unionByName(part)
     kind = all_rows.schema["_key"].dataType.simpleString()
@@ -241,13 +242,13 @@ def range_join(rows: DataFrame, key: str = "vec_id", vector: str = "embedding",
         "root", F.coalesce("root", "_point")
     )
     least = named.groupBy("root").agg(F.min("_least").alias("_component"))
-    classes = named.join(least, "root").join(counted, "_point", "left").select("_unit", "_component", "partners")
+    classes = named.join(least, "root").join(counted, "_point", "left").select("_raw", "_component", "partners")
     salts = 8
     spread = classes.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    out = all_rows.withColumn("_salt", F.pmod(F.xxhash64("_row"), F.lit(salts)).cast("int")).join(spread, ["_unit", "_salt"], "left")
+    out = all_rows.withColumn("_salt", F.pmod(F.xxhash64("_row"), F.lit(salts)).cast("int")).join(spread, ["_raw", "_salt"], "left")
     return out.select(
         F.col("_key").alias(key),
-        F.when(F.col("_unit").isNull(), F.lit(0)).otherwise(F.coalesce("partners", F.lit(1)) - 1).cast("long").alias("n_links"),
-        F.when(F.col("_unit").isNull(), F.col("_key")).otherwise(F.col("_component")).cast(kind).alias("component_id"),
-        F.when(F.col("_unit").isNull(), F.lit(True)).otherwise(F.col("_key").eqNullSafe(F.col("_component"))).alias("kept"),
+        F.when(F.col("_raw").isNull(), F.lit(0)).otherwise(F.coalesce("partners", F.lit(1)) - 1).cast("long").alias("n_links"),
+        F.when(F.col("_raw").isNull(), F.col("_key")).otherwise(F.col("_component")).cast(kind).alias("component_id"),
+        F.when(F.col("_raw").isNull(), F.lit(True)).otherwise(F.col("_key").eqNullSafe(F.col("_component"))).alias("kept"),
     )

@@ -43,7 +43,7 @@ def test_query_equals_brute_force(spark, sf_dir):
     assert result(QUERIES["op8_vectors"](spark, sf_dir)) == plain(rows)
 
 
-@pytest.mark.parametrize("part, cell", [(2_048, 400), (7, 10)])
+@pytest.mark.parametrize("part, cell", [(2_048, 40), (7, 10)])
 def test_groups_chains_and_odd_vectors(spark, monkeypatch, part, cell):
     monkeypatch.setattr(vectors, "PART_ROWS", part)
     monkeypatch.setattr(vectors, "CELL_ROWS", cell)
