@@ -397,10 +397,14 @@ def templates() -> list[str]:
 
 def fit(pages: DataFrame, key: str = "page_id", html: str = "html", rows: int = TRAIN_PAGES) -> Model:
     """Fit on at most ``rows`` pages that mark their article, and the templates."""
-    marked = pages.where(F.col(html).rlike("(?i)<(article|main)[\\s>]"))
-    chosen = marked.select(F.col(html).alias("html"), F.xxhash64(F.col(key).cast("string"), html).alias("h"))
+    marked = pages.where(F.col(html).rlike("(?i)<(article|main)[\\s>]")).select(
+        F.col(html).alias("html"), F.xxhash64(F.col(key).cast("string"), html).alias("h")
+    )
     # long pages teach no more than others and would fill the driver
-    chosen = chosen.where(F.length("html") < 200_000).orderBy("h", "html").limit(rows).collect()
+    marked = marked.where(F.length("html") < 200_000)
+    # the hashes first, so that tasks send pages of the sample alone
+    least = [r.h for r in marked.select("h").distinct().orderBy("h").limit(rows).collect()]
+    chosen = marked.where(F.col("h") <= least[-1]).groupBy("h").agg(F.min("html").alias("html")).orderBy("h").collect() if least else []
     own = [Page(r.html) for r in chosen]
     made = [Page(t) for t in templates()]
     share = max(1, len(own) // max(len(made), 1))
