@@ -267,7 +267,7 @@ def apply_thresholds(
     if not enabled:
         return df
     if isinstance(thresholds, DataFrame):
-        df = df.join(thresholds, "predicted_class", "left")
+        df = df.join(scale.checked_broadcast(thresholds), "predicted_class", "left")
         limit = F.coalesce(F.col("threshold"), F.lit(default))
     else:
         table = CLASS_THRESHOLDS if thresholds is None else thresholds

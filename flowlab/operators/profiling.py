@@ -144,10 +144,20 @@ def cluster_profiles(
 
 
 def feature_variability(df: DataFrame, cols: Sequence[str], exact: bool = True) -> DataFrame:
-    """Sample standard deviation and number of distinct values."""
-    distinct = F.count_distinct if exact else F.approx_count_distinct
-    row = _aggregate(df, cols, {"sd": F.stddev_samp, "d": distinct})
-    return _long(row, cols, {"sd": "std", "d": "n_distinct"})
+    """Sample standard deviation and number of distinct values.
+
+    Several distinct counts in one aggregation would copy every row for every
+    column through the shuffle. Here a task sends each value of a column once.
+    """
+    if not exact:
+        row = _aggregate(df, cols, {"sd": F.stddev_samp, "d": F.approx_count_distinct})
+        return _long(row, cols, {"sd": "std", "d": "n_distinct"})
+    spread = _long(_aggregate(df, cols, {"sd": F.stddev_samp}), cols, {"sd": "std"})
+    values = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("_name"), F.when(F.col(c) == 0, "0").otherwise(F.col(c).cast("string")).alias("_value")) for c in cols])))
+    counts = values.where(F.col("_value").isNotNull()).distinct().groupBy("_name").agg(F.count(F.lit(1)).alias("n_distinct"))
+    name = spread.columns[0]
+    joined = spread.join(scale.checked_broadcast(counts), F.col(name) == F.col("_name"), "left")
+    return joined.select(name, "std", F.coalesce("n_distinct", F.lit(0)).alias("n_distinct"))
 
 
 def correlations(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -213,7 +223,7 @@ def box_stats(df: DataFrame, value: str, by: str = "label", **kw) -> DataFrame:
     reach = (F.col("q3") - F.col("q1")) * 1.5
     inside = (v >= F.col("q1") - reach) & (v <= F.col("q3") + reach)
     return (
-        df.join(F.broadcast(params), F.col(by).eqNullSafe(F.col("_by")))
+        df.join(scale.checked_broadcast(params), F.col(by).eqNullSafe(F.col("_by")))
         .groupBy(by, "q1", "median", "q3")
         .agg(
             F.count(value).alias("n"),

@@ -26,7 +26,7 @@ def _with_cuts(df: DataFrame, ids, seed, label, ranks) -> DataFrame:
     """Attach the rank cuts of each class; the table of cuts has a row per class."""
     cuts = scale.hash_cuts(df, ids, seed, ranks, within=label)
     return df.withColumn("_md5", scale.seeded_hash(seed, *ids)).join(
-        F.broadcast(cuts), F.col(label).eqNullSafe(F.col("_class"))
+        scale.checked_broadcast(cuts), F.col(label).eqNullSafe(F.col("_class"))
     )
 
 

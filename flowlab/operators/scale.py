@@ -207,7 +207,8 @@ def hash_cuts(
     ).select("_class", "_prefix", "_j", (F.col("_rank") - F.col("_upto") + F.col("_n")).alias("_local"))
     order = Window.partitionBy("_class", "_prefix", "_j").orderBy("_md5")
     found = (
-        hashed.join(targets, ["_class", "_prefix"])
+        # a few rows per class: without the broadcast every row would be shuffled
+        hashed.join(checked_broadcast(targets), ["_class", "_prefix"])
         .withColumn("_rn", F.row_number().over(order))
         .where(F.col("_rn") == F.col("_local"))
         .groupBy("_class")
@@ -234,6 +235,8 @@ def hash_cuts(
 #: values in one buffer) is still the cheapest way
 PERCENTILE_ROWS = 200_000
 BRACKET_ACCURACY = 100_000
+#: groups times columns times probabilities that may be fitted at once
+BOUND_ROWS = 1_000_000
 
 
 def exact_quantiles(
@@ -245,7 +248,10 @@ def exact_quantiles(
     accuracy: int = BRACKET_ACCURACY,
     counts: dict | None = None,
 ) -> dict:
-    """Exact quantiles with linear interpolation, NULLs left out.
+    """Exact quantiles with linear interpolation, NULL and NaN left out.
+
+    Infinities are ordinary values at the ends of the order; between two equal
+    ones lies the same infinity.
 
     Returns ``{column: [value, ...]}``, or ``{group: {column: [...]}}`` with
     ``by`` (a column of few values, such as a class label). The result holds a
@@ -255,9 +261,11 @@ def exact_quantiles(
     Small inputs take the built-in ``percentile``. On large ones that would
     keep every distinct value in one aggregation buffer, so a first pass
     brackets each quantile with a sketch and a second pass counts values
-    exactly, but only those inside the brackets.
+    exactly, but only those inside the brackets. Both give the same numbers.
     """
     cols, probabilities = list(cols), list(probabilities)
+    floating = [c for c in cols if df.schema[c].dataType.typeName() in ("double", "float")]
+    df = df.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in floating}) if floating else df
     groups = [by] if by else []
     margin = 2.0 / accuracy
     edges = [
@@ -315,7 +323,7 @@ def _refine(df, cols, probabilities, by, brackets, accuracy):
     ).where(F.col("_v").isNotNull())
     # bounds: groups x columns x probabilities rows, a fitted-state sized table
     placed = values.join(
-        F.broadcast(bounds),
+        checked_broadcast(bounds, BOUND_ROWS),
         F.col("_v_g").eqNullSafe(F.col("_g")) & (F.col("_v_c") == F.col("_c")),
     ).where(F.col("_v") <= F.col("_hi"))
     # everything below a bracket collapses into one counter
@@ -342,5 +350,5 @@ def _refine(df, cols, probabilities, by, brackets, accuracy):
         if slots[name] is None:
             slots[name] = [None] * len(probabilities)
         share = r["_pos"] - math.floor(r["_pos"])
-        slots[name][r["_p"]] = r["lo"] + (r["hi"] - r["lo"]) * share
+        slots[name][r["_p"]] = r["lo"] if share == 0 or r["lo"] == r["hi"] else r["lo"] + (r["hi"] - r["lo"]) * share
     return found

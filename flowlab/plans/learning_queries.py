@@ -136,8 +136,10 @@ def _cross_validation(spark, sf):
 
 @query("kernel_svm")
 def _svm(spark, sf):
+    """Trained on four fifths, scored on the rest."""
     df = embedded(spark, sf)
-    scored = S.score(df, S.svm(df, n_components=128, max_iter=30))
+    test = F.col("row_id") % 5 == 0
+    scored = S.score(df.where(test), S.svm(df.where(~test), n_components=128, max_iter=30))
     return scored.select("row_id", "label_idx", "prediction", "confidence")
 
 

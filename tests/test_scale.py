@@ -91,6 +91,17 @@ def test_quantiles_in_brackets_equal_the_builtin(skewed, by):
     assert counts[None] == 3000 and counts["holes"] == 2250
 
 
+@pytest.mark.parametrize("small", [0, 200_000])
+def test_quantiles_with_infinities_and_nan(spark, small):
+    inf, nan = float("inf"), float("nan")
+    rows = [(float(i), -inf if i < 100 else inf if i > 800 else float(i), nan if i % 3 == 0 else float(i)) for i in range(1000)]
+    df = spark.createDataFrame(rows, "a double, b double, c double")
+    got = scale.exact_quantiles(df, ["a", "b", "c"], [0.0, 0.05, 0.5, 0.95, 1.0], small=small, accuracy=50)
+    assert got["a"] == pytest.approx([0.0, 49.95, 499.5, 949.05, 999.0])
+    assert got["b"] == [-inf, -inf, 499.5, inf, inf]
+    assert got["c"][0] == 1.0 and got["c"][4] == 998.0 and got["c"][2] == pytest.approx(499.5, abs=1)
+
+
 def test_quantiles_of_nothing(skewed):
     empty = skewed.where("row_id < 0")
     assert scale.exact_quantiles(empty, ["few"], [0.5]) == {"few": [None]}
