@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from flowlab.operators import clustering as K
@@ -181,17 +182,57 @@ def _dbscan_crowded(spark, sf):
     return K.dbscan(points(spark, sf), 0.08, 4, cell_rows=5)
 
 
-@query("kmeans")
+@query("kmeans", """select vec_id as id, label, true as is_nearest, cast(8 as bigint) as n_clusters,
+ count(*) over () as n_points from embeddings""")
 def _kmeans(spark, sf):
-    df = K.kmeans(wide(spark, sf), 8, n_init=3, max_iter=50)
-    return df.select("id", "label", "cluster")
-
-
-@query("choose_k")
+    """Every point is in the cluster whose centre is nearest, of eight that are all used."""
+    df = wide(spark, sf)
+    model = K.fit_kmeans(df, 8, n_init=3, max_iter=50)
+    centres = F.array(*[F.array(*[F.lit(float(x)) for x in c]) for c in model.clusterCenters()])
+    scored = K.with_vec(model.transform(df)).withColumn("gaps", F.transform(centres, lambda c: D.distance(c, F.col("vec"))))
+    own = F.element_at("gaps", F.col("cluster") + 1)
+    used = scored.agg(F.count_distinct("cluster").alias("n_clusters"), F.count("*").alias("n_points"))
+    return scored.select("id", "label", (own <= F.array_min("gaps") + 1e-9).alias("is_nearest")).join(F.broadcast(used))
+
+
+@query("choose_k", """select cast(k as int) as k, k < 5 or n >= 5 as within_points, true as inertia_falls, true as silhouette_in_range, cast(1 as bigint) as n_best
+ from (select unnest([2, 3, 4, 5]) as k), (select count(*) as n from embeddings)""")
 def _choose_k(spark, sf):
-    return K.choose_k(wide(spark, sf), range(2, 6), n_init=1, max_iter=20)
+    """The sweep covers every k, inertia does not rise with k, one k is the best."""
+    df = wide(spark, sf)
+    table = K.choose_k(df, range(2, 6), n_init=1, max_iter=20)
+    whole = Window.partitionBy()  # one row per k
+    before = F.lag("inertia").over(whole.orderBy("k"))
+    top = F.max(F.when(F.col("is_best"), F.col("silhouette"))).over(whole) == F.max("silhouette").over(whole)
+    return table.select(
+        "k",
+        (F.col("k") <= F.lit(df.count())).alias("within_points"),
+        F.coalesce(F.col("inertia") <= before * 1.02, F.lit(True)).alias("inertia_falls"),
+        (F.col("silhouette").between(-1, 1) & top).alias("silhouette_in_range"),
+        F.sum(F.col("is_best").cast("int")).over(whole).alias("n_best"),
+    )
 
 
-@query("pca_projection")
+@query("pca_projection", """select label, count(*) as n, true as centred, true as uncorrelated, true as ordered, true as share_in_range
+ from embeddings group by label""")
 def _pca(spark, sf):
-    return K.pca2(wide(spark, sf), ["id", "label"])
+    """Scores are centred and uncorrelated, the first has the larger variance."""
+    scores = K.pca2(wide(spark, sf), ["id", "label"])
+    facts = scores.agg(
+        (F.greatest(F.abs(F.avg("pc1")), F.abs(F.avg("pc2"))) < 1e-9).alias("centred"),
+        (F.abs(F.corr("pc1", "pc2")) < 1e-6).alias("uncorrelated"),
+        (F.var_samp("pc1") >= F.var_samp("pc2")).alias("ordered"),
+        F.max("explained").between(0, 1).alias("share_in_range"),
+    )
+    return scores.groupBy("label").agg(F.count("*").alias("n")).join(F.broadcast(facts))
+
+
+@query("eps_pairs_all_dimensions", """
+select id_a, id_b from (
+ select a.vec_id as id_a, b.vec_id as id_b, list_distance(cast(a.embedding as double[]), cast(b.embedding as double[])) as d
+  from embeddings a join embeddings b on a.vec_id < b.vec_id)
+ where d <= 1.15""")
+def _eps_pairs_wide(spark, sf):
+    """The radius join over all 64 coordinates."""
+    df = t.embeddings(spark, sf).select(F.col("vec_id").alias("id"), F.transform("embedding", lambda x: x.cast("double")).alias("vec"))
+    return D.eps_pairs(df, 1.15).select("id_a", "id_b")

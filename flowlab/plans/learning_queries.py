@@ -122,11 +122,18 @@ def _forest(spark, sf):
     return scored.select("row_id", "label", "predicted_class", "confidence")
 
 
-@query("feature_importance")
+@query("feature_importance", "select cast(count(*) as bigint) as n, true as named, true as in_range, true as sum_is_one from (select unnest(["
+    + ", ".join(f"'{c}'" for c in NUMERIC) + "])) where exists (select 1 from orders)")
 def _importance(spark, sf):
+    """An importance for every feature, and they add up to one."""
     _, df = prepared(spark, sf)
     forest = S.random_forest(df.where("split = 'train'"), n_trees=20, max_depth=8)
-    return S.top_importances(forest, NUMERIC, spark, 5)
+    return S.importances(forest, NUMERIC, spark).agg(
+        F.count("*").alias("n"),
+        F.bool_and(F.col("feature").isin(NUMERIC)).alias("named"),
+        F.bool_and(F.col("importance").between(0, 1)).alias("in_range"),
+        (F.sum("importance") > 0.99).alias("sum_is_one"),
+    )
 
 
 @query("cross_validation")
@@ -134,13 +141,19 @@ def _cross_validation(spark, sf):
     return S.cross_validate(embedded(spark, sf), 3, n_trees=10, max_depth=6)
 
 
-@query("kernel_svm")
+@query("kernel_svm", """select vec_id as row_id, cast(label as int) as label_idx, true as known_class, true as confidence_in_range
+ from embeddings where vec_id % 5 = 0""")
 def _svm(spark, sf):
     """Trained on four fifths, scored on the rest."""
     df = embedded(spark, sf)
     test = F.col("row_id") % 5 == 0
     scored = S.score(df.where(test), S.svm(df.where(~test), n_components=128, max_iter=30))
-    return scored.select("row_id", "label_idx", "prediction", "confidence")
+    classes = [r[0] for r in df.select("label_idx").distinct().collect()]  # one row per class
+    return scored.select(
+        "row_id", "label_idx",
+        F.col("prediction").cast("int").isin(classes).alias("known_class"),
+        F.col("confidence").between(0, 1).alias("confidence_in_range"),
+    )
 
 
 @query("svm_grid_search")

@@ -15,13 +15,13 @@ from pyspark.sql import functions as F
 from flowlab.operators import classifying, flows as fl
 from flowlab.operators import preparing as R
 from flowlab.operators import profiling as P
-from flowlab.plans.learning_queries import shared_folder
+from flowlab.plans.learning_queries import labeled_sql, shared_folder
 from flowlab.plans.packet_queries import (
     KEYED, TIMEOUT, exact_flow_sql, feature_list, flow_sql, rounded, sequenced,
 )
 from flowlab.plans.registry import query, with_views
 from flowlab.plans.table_queries import NUMERIC, cic_labeled
-from flowlab.schema import FLOW_FEATURES, PACKET_SCHEMA
+from flowlab.schema import FLOW_FEATURES, PACKET_SCHEMA, SYNTHETIC_CLASSES
 from flowlab.sources import datasets, files, pcap, sinks, tables as t
 from flowlab.streaming import flows as st
 from flowlab.streaming import scoring
@@ -304,12 +304,15 @@ def _tolerant(spark, sf):
     return read.unionByName(lost)
 
 
-@query("synthetic_flows")
+@query("synthetic_flows", labeled_sql(f"""select c.label, n // {len(SYNTHETIC_CLASSES)} as n, true as floors_hold, true as counts_in_range
+ from (select unnest([{', '.join(f"'{c[0]}'" for c in SYNTHETIC_CLASSES)}]) as label) c, (select count(*) as n from cic_labeled)"""))
 def _synthetic(spark, sf):
-    """As many synthetic flows as there are orders, summarised per class."""
+    """As many synthetic flows as there are labelled rows, in equal classes."""
     from flowlab.sources.synthetic import synthetic_flows
 
     n = cic_labeled(spark, sf).count()
-    return synthetic_flows(spark, n, 6).groupBy("label").agg(
-        F.count("*").alias("n"), *[F.round(F.avg(c), 3).alias(c) for c in NUMERIC]
+    return synthetic_flows(spark, n, len(SYNTHETIC_CLASSES)).groupBy("label").agg(
+        F.count("*").alias("n"),
+        F.bool_and((F.col("fwd_pkt_len_mean") >= 64) & (F.col("iat_mean") >= 0.001) & (F.col("flow_duration") >= 1)).alias("floors_hold"),
+        F.bool_and(F.col("fwd_packet_count").between(10, 199) & F.col("bwd_packet_count").between(5, 99)).alias("counts_in_range"),
     )
