@@ -29,9 +29,9 @@ from pyspark.sql import DataFrame
 from flowlab.llm.common import batches_of
 
 #: chunks kept by a worker between batches
-CACHE_CHUNKS = 600_000
+CACHE_CHUNKS = 200_000
 #: distinct chunks that are encoded together
-GROUP_CHUNKS = 200_000
+GROUP_CHUNKS = 100_000
 
 #: bits of a symbol in a pair key
 _SHIFT = 20
@@ -238,7 +238,7 @@ def load(path: str) -> WordBpe:
     return _loaded[path]
 
 
-def text_groups(ids: list, texts: pa.Array, most_chars: int = 8_000_000) -> Iterator[tuple[list, list]]:
+def text_groups(ids: list, texts: pa.Array, most_chars: int = 3_000_000) -> Iterator[tuple[list, list]]:
     """Rows of a batch in groups of bounded text size; a long text is a group."""
     keys, group, size = [], [], 0
     for key, value in zip(ids, texts):

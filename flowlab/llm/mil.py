@@ -330,9 +330,11 @@ def score(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | N
 
     def run(batches):
         for batch in batches:
-            scores = model.score(list(byte_column(batch.column(batch.num_columns - 1))))
-            columns = [*batch.columns[:-1], pa.array(scores, pa.float64())]
-            yield pa.RecordBatch.from_arrays(columns, names=[*keep, out])
+            for at in range(0, batch.num_rows, 500):  # a few texts at a time
+                part = batch.slice(at, 500)
+                scores = model.score(list(byte_column(part.column(part.num_columns - 1))))
+                columns = [*part.columns[:-1], pa.array(scores, pa.float64())]
+                yield pa.RecordBatch.from_arrays(columns, names=[*keep, out])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.select(*keep).schema.fields)
     return source.mapInArrow(run, f"{fields}, `{out}` double")
