@@ -21,6 +21,7 @@ from flowlab.schema import (
     LABEL_CONTAINS,
     LABEL_TAXONOMY,
     LOG_FEATURES,
+    MIN_PER_CLASS,
 )
 
 
@@ -107,7 +108,7 @@ def drop_classes(df: DataFrame, names: Sequence[str] | DataFrame) -> DataFrame:
     return df.where(F.coalesce(~F.col("label").isin(list(names)), F.lit(True)))
 
 
-def min_support(df: DataFrame, n: int = 500) -> DataFrame:
+def min_support(df: DataFrame, n: int = MIN_PER_CLASS) -> DataFrame:
     """Only classes with at least ``n`` rows.
 
     Counted with map-side combination; the frequent classes then filter the

@@ -277,10 +277,12 @@ def flow_features(
         "end_ts": F.max("ts"),
         "n_packets": F.count(F.lit(1)),
         **_base_measures(),
-        **(_exact_measures() if profile == "exact" else _estimate_measures()),
+        **(_exact_measures() if profile == "exact" else {}),
     }
     if label:
-        measures["label"] = F.first(label)
+        # of the earliest packet; ids of different files may be equal
+        place = [c for c in ("source_file", "packet_id") if c in rows.columns]
+        measures["label"] = F.min_by(label, F.struct("ts", *place))
     keys = [*scope, *FLOW_KEY, "flow_seq"]
     flows = rows.groupBy(*keys).agg(*[e.alias(n) for n, e in measures.items()])
     flows = flows.where(F.col("n_packets") >= min_packets)
@@ -340,10 +342,6 @@ def _exact_measures() -> dict[str, Column]:
     return found
 
 
-def _estimate_measures() -> dict[str, Column]:
-    return {}
-
-
 def _common_features() -> dict[str, Column]:
     duration = F.greatest(F.col("end_ts") - F.col("start_ts"), F.lit(MIN_DURATION))
     total = F.col("_bf") + F.col("_bb")
@@ -381,7 +379,6 @@ def _exact_features() -> dict[str, Column]:
         "active_mean": F.col("active_mean"),
         "idle_mean": F.col("idle_mean"),
     }
-    features["bwd_iat_std"] = F.col("_biat_std")
     return features
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowlab.operators import scale
+from flowlab.schema import MAX_PER_CLASS
 
 
 def shuffle(df: DataFrame, seed: int = 42, ids: Sequence[str] = ("row_id",)) -> DataFrame:
@@ -32,7 +33,7 @@ def _with_cuts(df: DataFrame, ids, seed, label, ranks) -> DataFrame:
 
 def sample_per_class(
     df: DataFrame,
-    n: int = 40_000,
+    n: int = MAX_PER_CLASS,
     seed: int = 42,
     ids: Sequence[str] = ("row_id",),
     label: str = "label",
