@@ -69,20 +69,21 @@ def fingerprint(text: bytes | None, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, text: str = "text", key: str = "doc_id", shingle: int = SHINGLE) -> DataFrame:
-    """``key`` and ``fp``, the fingerprint as the same 64 bits of a long."""
+    """``key``, ``fp``, the fingerprint as the same 64 bits of a long, and
+    ``_text``, a hash of the whole text as it stands."""
     from flowlab.llm.bpe import _arrow_type
 
-    source = docs.select(key, text)
-    schema = pa.schema([(key, _arrow_type(source, key)), ("fp", pa.int64())])
+    source = docs.select(key, text, F.xxhash64(text).alias("_text"))
+    schema = pa.schema([(key, _arrow_type(source, key)), ("fp", pa.int64()), ("_text", pa.int64())])
 
     def run(batches):
         for batch in batches:
             values = np.array([fingerprint(t, shingle) for t in byte_column(batch.column(1))], dtype=np.uint64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).cast(schema.field(0).type), pa.array(values.view(np.int64))], schema=schema
+                [batch.column(0).cast(schema.field(0).type), pa.array(values.view(np.int64)), batch.column(2)], schema=schema
             )
 
-    return source.mapInArrow(run, f"{key} {source.schema[key].dataType.simpleString()}, fp long")
+    return source.mapInArrow(run, f"{key} {source.schema[key].dataType.simpleString()}, fp long, _text long")
 
 
 def block_masks(blocks: int = BLOCKS, distance: int = DISTANCE) -> list[int]:
@@ -221,6 +222,14 @@ def near_duplicates(
 
     The component is the smallest ``key`` that a document reaches by links.
     """
+    return _classes(docs, text, key, distance, blocks, cell).select(
+        key, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+    )
+
+
+def _classes(docs: DataFrame, text: str, key: str, distance: int = DISTANCE, blocks: int = BLOCKS, cell: int = CELL) -> DataFrame:
+    """Each row with its component: ``root``, one of its fingerprints, and
+    ``component_id``."""
     printed = stored(fingerprints(docs, text, key), "fingerprints")
     points = stored(printed.groupBy("fp").agg(F.min(key).alias("_least")), "points")
     found = stored(links(points, distance, blocks, cell), "links")
@@ -230,34 +239,38 @@ def near_duplicates(
         "fp", "_least", F.coalesce("root", "fp").alias("root")
     )
     smallest = named.groupBy("root").agg(F.min("_least").alias("component_id"))
-    classes = named.join(smallest, "root").select("fp", "component_id")
+    classes = named.join(smallest, "root").select("fp", "root", "component_id")
     # a fingerprint may belong to a third of the rows: dealt over several tasks
     salts = 16
     spread = classes.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return (
         printed.withColumn("_salt", F.pmod(F.xxhash64(key), F.lit(salts)).cast("int"))
         .join(spread, ["fp", "_salt"])
-        .select(key, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+        .select(key, "fp", "_text", "root", "component_id")
     )
 
 
 def one_of_each(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """The row of the smallest id of every component, with all its columns.
+    """One row of every component, with all its columns.
 
-    Of rows that share that id the one with the least hash of its text stays.
+    It is the row of the smallest id, null ids last; of rows that share it the
+    one with the least hash of its text, whatever copies of it there are.
     """
-    classes = stored(near_duplicates(docs, text, key), "classes")
+    classes = stored(_classes(docs, text, key), "classes")
     kept = (
-        classes.where(F.col(key).eqNullSafe(F.col("component_id")))
-        .groupBy(F.col(key).alias("__kept_id"))
+        classes.groupBy("root", key, "_text")
         .agg(F.count(F.lit(1)).alias("__kept_rows"))
+        .groupBy("root")
+        .agg(F.min(F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("id"), "_text", "__kept_rows")).alias("k"))
+        .select(F.col("k.id").alias("__kept_id"), F.col("k._text").alias("__kept_text"), F.col("k.__kept_rows").alias("__kept_rows"))
     )
-    chosen = docs.join(kept, docs[key].eqNullSafe(kept["__kept_id"]))
+    same = docs[key].eqNullSafe(kept["__kept_id"]) & (F.xxhash64(docs[text]) == kept["__kept_text"])
+    chosen = docs.join(kept, same)
     single = chosen.where(F.col("__kept_rows") == 1).select(*docs.columns)
     several = (
         chosen.where(F.col("__kept_rows") > 1)
-        .groupBy("__kept_id")
-        .agg(F.min_by(F.struct(*docs.columns), F.struct(F.xxhash64(text), text)).alias("__row"))
+        .groupBy("__kept_id", "__kept_text")
+        .agg(F.min_by(F.struct(*docs.columns), F.xxhash64(*docs.columns)).alias("__row"))
         .select("__row.*")
     )
     return single.unionByName(several)
