@@ -33,8 +33,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sources are brought to their target shares: a document comes once per
-    pass that takes it, in full or cut to the words that the pass takes."""
+    """Sources are brought to their target shares: a row per dealt piece, the
+    words of a document in one drawn block, in the order of the shards."""
     ship_package(spark)
     return mixing.mixed_documents(docs)
 

@@ -14,7 +14,10 @@ distribution. Every shard walks from the root to its leaf with random numbers
 that depend on the node alone, so all shards agree without exchanging anything
 and their quotas add up exactly. A source's draws are then given out in order,
 which keeps the blocks of the shards disjoint, and each shard orders its blocks
-by a seeded hash.
+by a seeded hash. The number of shards grows with the blocks. The dealt pieces
+are written once, shard by shard in that order, and every result is read from
+them: the words taken of a document are those of its pieces in the shards, and
+the mix as rows has a row per piece, in the order of the shards.
 
 Running positions within a source come from counts by hash bucket, so a source
 with most rows is never sorted in one task.
@@ -29,8 +32,10 @@ stays null; an empty table gives an empty result. Only ``key``, ``text`` and
 from __future__ import annotations
 
 import math
+import re
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -43,7 +48,13 @@ WEIGHTS = (3, 1, 2)
 SHARE_PERCENT = 150
 MOST_REPEATS = 2
 BLOCK_WORDS = 512
-SHARDS = 8
+#: blocks of an output shard, at most on average
+SHARD_BLOCKS = 4_096
+#: shards of a small mix
+LEAST_SHARDS = 8
+#: entries of the table of shard borders (sources times shards); with so many
+#: sources that it would be larger, shards are larger instead
+MOST_BORDERS = 4_000_000
 SEED = 11
 #: sources whose totals may be handled on the driver, one row each
 MOST_SOURCES = 100_000
@@ -90,8 +101,18 @@ def targets_of(names: list, totals: list[int], weights=WEIGHTS, percent: int = S
     return target
 
 
-def _plan(documents: DataFrame, block_words: int, shards: int, seed: int) -> DataFrame:
-    """One row per source: size, target, passes, blocks and shard borders."""
+def shards_for(blocks: int, sources: int) -> int:
+    """Output shards of a mix of so many blocks."""
+    return max(LEAST_SHARDS, min(math.ceil(blocks / SHARD_BLOCKS), MOST_BORDERS // max(sources, 1)))
+
+
+def _plan(documents: DataFrame, block_words: int, shards: int | None, seed: int) -> tuple[DataFrame, int, np.ndarray]:
+    """One row per source (size, target, passes, blocks, first draw), the
+    number of shards, and their borders.
+
+    The draws of all sources are numbered through, so the borders are one
+    ascending table: of each source the first draw of every shard, and the end.
+    """
     spark = documents.sparkSession
     totals = documents.groupBy("_source").agg(F.sum("_size").alias("n")).limit(MOST_SOURCES + 1).collect()
     if len(totals) > MOST_SOURCES:
@@ -107,12 +128,14 @@ def _plan(documents: DataFrame, block_words: int, shards: int, seed: int) -> Dat
         blocks = math.ceil(size / block_words)
         drawn.append(passes * blocks + math.ceil(rest / block_words))
         rows.append((name, size, float(t), words, int(passes), int(rest), int(blocks)))
-    borders = shard_borders(spark, drawn, shards, seed)
-    rows = [(*r, b) for r, b in zip(rows, borders)]
-    return spark.createDataFrame(
-        rows,
-        "_plan_source string, source_size long, target double, _words long, _passes long, _rest long, _blocks long, _borders array<long>",
+    shards = shards or shards_for(sum(drawn), len(drawn))
+    first = np.cumsum([0, *drawn])[:-1].tolist()
+    borders = [np.array(b, dtype=np.int64) + f for b, f in zip(shard_borders(spark, drawn, shards, seed), first)]
+    plan = spark.createDataFrame(
+        [(*r, f) for r, f in zip(rows, first)],
+        "_plan_source string, source_size long, target double, _words long, _passes long, _rest long, _blocks long, _first long",
     )
+    return plan, shards, np.concatenate([np.zeros(0, np.int64), *borders])
 
 
 def split_node(counts: np.ndarray, left: int, right: int, node: int, seed: int) -> np.ndarray:
@@ -201,19 +224,33 @@ def mix(
     key: str = "doc_id",
     source: str = "source",
     block_words: int = BLOCK_WORDS,
-    shards: int = SHARDS,
+    shards: int | None = None,
     seed: int = SEED,
     row: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """``(documents, pieces)``.
+    """``(documents, pieces)``; ``shards`` by default from the number of blocks.
 
     ``documents`` has a row per document: ``_row``, ``_key``, ``_source``,
     ``_size``, ``source_size``, ``target``. ``pieces`` are the parts of the
     mix: ``_row``, ``shard``, ``place`` (order within the shard, a hash),
-    ``pass``, and the words ``word_from`` to ``word_to`` of the document.
+    ``pass``, and the words ``word_from`` to ``word_to`` of the document. They
+    are read from the dealt shards, which are written here.
     """
+    described, pieces, shards = _dealt(docs, text, key, source, block_words, shards, seed, row)
+    return described, stored(shuffled(pieces, shards), "shards")
+
+
+def _dealt(docs, text, key, source, block_words=BLOCK_WORDS, shards=None, seed=SEED, row=None) -> tuple[DataFrame, DataFrame, int]:
+    """``(documents, pieces, shards)``; the pieces know their shard and place."""
     documents = stored(sizes(docs, text, key, source, row), "sizes")
-    plan = checked_broadcast(_plan(documents, block_words, shards, seed))
+    plan, shards, borders = _plan(documents, block_words, shards, seed)
+    plan = checked_broadcast(plan)
+    shared = documents.sparkSession.sparkContext.broadcast(borders)
+
+    @F.pandas_udf("int")
+    def shard_of(draw: pd.Series) -> pd.Series:
+        return pd.Series(((np.searchsorted(shared.value, draw.to_numpy(), side="right") - 1) % (shards + 1)).astype(np.int32))
+
     same = F.col("_source").eqNullSafe(F.col("_plan_source"))
     joined = _positions(documents.where("_size > 0")).join(plan, same)
     first = F.floor(F.col("_start") / F.lit(block_words)).cast("long")
@@ -230,53 +267,82 @@ def mix(
         .withColumn("word_to", F.least(F.col("_size"), block_start + F.col("_take") - F.col("_start")))
         .where("word_to > word_from")
         .withColumn("_draw", F.col("pass") * F.col("_blocks") + F.col("_rank"))
-        .withColumn("shard", F.expr("cast(size(filter(_borders, b -> b <= _draw)) - 1 as int)"))
+        .withColumn("shard", shard_of(F.col("_first") + F.col("_draw")))
         .withColumn("place", F.xxhash64(F.lit(seed), "shard", "_source", "_draw"))
+        .withColumn("_at", F.col("_start") + F.col("word_from"))
     )
-    pieces = blocks.select("_row", "_key", "_source", "shard", "place", "_draw", "pass", "word_from", "word_to")
+    pieces = blocks.select("_row", "_key", "_source", "_size", "shard", "place", "_draw", "_at", "pass", "word_from", "word_to")
     described = documents.join(plan, same).select("_row", "_key", "_source", "_size", "source_size", "target")
-    return described, pieces
+    return described, pieces, shards
 
 
-def shuffled(pieces: DataFrame, shards: int = SHARDS) -> DataFrame:
-    """Pieces dealt to their shards, each in its local random order."""
-    return pieces.repartitionByRange(shards, "shard", "place").sortWithinPartitions("shard", "place", "_draw", "word_from")
+def shuffled(pieces: DataFrame, shards: int) -> DataFrame:
+    """Pieces dealt to their shards, each in its local random order; the words
+    of a block stay in the order of their source."""
+    return pieces.repartitionByRange(shards, "shard", "place").sortWithinPartitions("shard", "place", "_source", "_draw", "_at")
 
 
 def taken(docs: DataFrame, text: str = "text", key: str = "doc_id", source: str = "source", **kw) -> DataFrame:
-    """One row per document: ``key``, size, source_size, target, taken."""
+    """One row per document: ``key``, size, source_size, target, taken, and
+    ``shards``, the words of it in each shard that has some, by shard."""
     described, pieces = mix(docs, text, key, source, **kw)
-    words = pieces.groupBy("_row").agg(F.sum(F.col("word_to") - F.col("word_from")).alias("_taken"))
+    dealt = pieces.groupBy("_row", "shard").agg(F.sum(F.col("word_to") - F.col("word_from")).alias("words"))
+    words = dealt.groupBy("_row").agg(
+        F.sum("words").alias("_taken"), F.sort_array(F.collect_list(F.struct("shard", "words"))).alias("shards")
+    )
     return described.join(words, "_row", "left").select(
         F.col("_key").alias(key),
         F.col("_size").alias("size"),
         "source_size",
         "target",
         F.coalesce("_taken", F.lit(0)).cast("long").alias("taken"),
+        F.coalesce("shards", F.expr("cast(array() as array<struct<shard:int,words:bigint>>)")).alias("shards"),
     )
 
 
+#: a word with the white space after it, and before it at the beginning
+_WORD = re.compile(rb"(?:\A[\x20\x09-\x0D]+)?[^\x20\x09-\x0D]+[\x20\x09-\x0D]*")
+
+
+def spans_of(text: str, starts, ends) -> list[str]:
+    """The words ``starts[i]`` to ``ends[i]`` of a text, with their white space."""
+    data = text.encode()
+    at = [m.start() for m in _WORD.finditer(data)]
+    at.append(len(data))
+    return [data[at[a] : at[b]].decode() for a, b in zip(starts, ends)]
+
+
+def _spans(text: pd.Series, starts: pd.Series, ends: pd.Series) -> pd.Series:
+    return pd.Series([None if t is None else spans_of(t, a, b) for t, a, b in zip(text, starts, ends)], dtype=object)
+
+
 def mixed_documents(docs: DataFrame, text: str = "text", key: str = "doc_id", source: str = "source", **kw) -> DataFrame:
-    """The mix as rows with the columns of ``docs``.
+    """The mix as rows with the columns of ``docs``, in the order of the shards.
 
-    A document comes once per pass that takes words of it, in full or cut to
-    the span of words that the pass takes.
+    There is a row per dealt piece: the words of a document in one drawn block,
+    as they are in the text. A document that lies within a block comes in full.
     """
     names = docs.columns
     whole = stored(docs.select(F.struct(*names).alias("__doc"), F.monotonically_increasing_id().alias("__id")), "mix-input")
     flat = whole.select("__id", *[F.col(f"__doc.`{c}`").alias(c) for c in dict.fromkeys((key, text, source))])
-    described, pieces = mix(flat, text, key, source, row="__id", **kw)
-    spans = pieces.groupBy("_row", "pass").agg(
-        F.sort_array(F.collect_list(F.struct("word_from", "word_to"))).alias("_spans"),
-        F.sum(F.col("word_to") - F.col("word_from")).alias("_n"),
+    _, dealt, shards = _dealt(flat, text, key, source, row="__id", **kw)
+    pieces = stored(shuffled(dealt, shards), "shards")
+    full = (F.col("word_from") == 0) & (F.col("word_to") == F.col("_size"))
+    parts = pieces.groupBy("_row").agg(
+        F.sort_array(F.collect_list(F.struct("shard", "place", "_source", "_draw", "_at", "word_from", "word_to", full.alias("full")))).alias("_parts"),
+        F.bool_and(full).alias("_uncut"),
+    )
+    value = F.col(f"__doc.`{text}`")
+    cut = whole.join(parts, F.col("__id") == F.col("_row")).withColumn(
+        # texts that no piece cuts do not pass through Python
+        "_texts", F.pandas_udf(_spans, "array<string>")(F.when(~F.col("_uncut"), value), F.col("_parts.word_from"), F.col("_parts.word_to"))
+    )
+    rows = cut.select("__doc", F.posexplode("_parts").alias("_i", "_part"), "_texts").select(
+        F.col("__doc").alias("__whole"), F.when(~F.col("_part.full"), F.get("_texts", F.col("_i"))).alias("__cut"), "_part.*"
     )
-    sized = spans.join(described.select("_row", "_size"), "_row")
-    out = whole.join(sized, F.col("__id") == F.col("_row"))
-    words = F.filter(F.split(F.col(f"__doc.`{text}`"), SPACES), lambda w: w != "")
-    cut = out.withColumn("_words", F.when(F.col("_n") < F.col("_size"), words))
-    part = F.expr(
-        "array_join(flatten(transform(_spans, s -> "
-        "slice(_words, cast(s.word_from + 1 as int), cast(s.word_to - s.word_from as int)))), ' ')"
+    value = F.when(F.col("full"), F.col(f"__whole.`{text}`")).otherwise(F.col("__cut"))
+    out = rows.select(
+        *[(value if c == text else F.col(f"__whole.`{c}`")).alias(f"__{i}") for i, c in enumerate(names)],
+        "shard", "place", "_source", "_draw", "_at",
     )
-    value = F.when(F.col("_n") == F.col("_size"), F.col(f"__doc.`{text}`")).otherwise(part)
-    return cut.select(*[(value if c == text else F.col(f"__doc.`{c}`")).alias(c) for c in names])
+    return shuffled(out, shards).select(*[F.col(f"__{i}").alias(c) for i, c in enumerate(names)])

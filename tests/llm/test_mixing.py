@@ -100,3 +100,34 @@ def test_empty_table_and_repeated_rows(spark):
     assert mixing.taken(docs).count() == 3
     assert mixing.taken(docs.limit(0)).count() == 0
     assert mixing.mixed_documents(docs.limit(0)).count() == 0
+
+
+def test_a_wrong_tree_changes_the_registered_rows(spark, sf_dir, monkeypatch):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    right = {r.doc_id: r for r in QUERIES["op7_mixing"](spark, sf_dir).collect()}
+    for r in right.values():
+        assert sum(s.words for s in r.shards) == r.taken
+        assert [s.shard for s in r.shards] == sorted({s.shard for s in r.shards})
+    assert {s.shard for r in right.values() for s in r.shards} == set(range(mixing.LEAST_SHARDS))
+    order = [r.text for r in mixing.mixed_documents(docs).collect()]
+    tree = mixing.shard_borders
+    monkeypatch.setattr(mixing, "shard_borders", lambda spark, drawn, shards, seed: tree(spark, drawn, shards, seed + 1))
+    wrong = {r.doc_id: r for r in QUERIES["op7_mixing"](spark, sf_dir).collect()}
+    assert {i: r.shards for i, r in wrong.items()} != {i: r.shards for i, r in right.items()}
+    assert order != [r.text for r in mixing.mixed_documents(docs).collect()]
+
+
+def test_mixed_rows_come_shard_by_shard_and_keep_white_space(spark):
+    texts = {i: " \n".join(f"d{i}w{j}" for j in range(5 + 37 * i % 300)) + "\n" for i in range(60)}
+    docs = spark.createDataFrame([(t, i, "abc"[i % 3]) for i, t in texts.items()], "text string, doc_id long, source string")
+    rows = mixing.mixed_documents(docs, block_words=16, shards=6).collect()
+    assert all(r.text in texts[r.doc_id] for r in rows)
+    _, pieces = mixing.mix(docs, block_words=16, shards=6)
+    want = sorted(pieces.collect(), key=lambda r: (r.shard, r.place, r._source, r._draw, r._at))
+    assert [(r.doc_id, r.text.split()) for r in rows] == [(r._key, texts[r._key].split()[r.word_from : r.word_to]) for r in want]
+
+
+def test_shards_grow_with_the_blocks():
+    assert mixing.shards_for(100, 3) == mixing.LEAST_SHARDS
+    assert mixing.shards_for(14_000_000, 3) == -(-14_000_000 // mixing.SHARD_BLOCKS)
+    assert mixing.spans_of(" \ta\n b  c ", [0, 1, 0], [1, 3, 3]) == [" \ta\n ", "b  c ", " \ta\n b  c "]
