@@ -4,8 +4,8 @@ Points are rows with an id and an ``array<double>`` column ``vec``.
 
 Two exact strategies are used. For a radius, points meet only in neighbouring
 grid cells, and crowded cells are split on both sides of the join. For nearest
-points and silhouettes, which compare with *all* points of a bounded sample,
-blocks of rows meet blocks of rows; each block pair is a task-sized NumPy
+points, k-distances and silhouettes, which compare with *all* points of a set
+(of a bounded sample for silhouettes), blocks of rows meet blocks of rows; each block pair is a task-sized NumPy
 computation that returns a summary per point, never the pairs.
 """
 
@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowlab.operators import sampling, scale
+from flowlab.session import cut_lineage
 
 #: rows of a block in a block-wise comparison
 BLOCK_ROWS = 2_000
@@ -28,7 +29,7 @@ BLOCK_ROWS = 2_000
 BROADCAST_ROWS = 20_000
 #: points of a cell beyond which its joins are split
 CELL_ROWS = 20_000
-#: rows a silhouette or neighbour sample may have
+#: rows a silhouette sample may have
 SAMPLE_ROWS = 5_000
 
 
@@ -193,11 +194,15 @@ def k_distance(
     df: DataFrame,
     k: int = 10,
     id: str = "id",
-    sample: int | None = SAMPLE_ROWS,
+    sample: int | None = None,
     seed: int = 42,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """Distance of each sampled point to its ``k``-th nearest, itself counted."""
+    """Distance of each point to its ``k``-th nearest, itself counted.
+
+    All points are asked and compared, unless a ``sample`` is wanted; the work
+    grows with the square of their number.
+    """
     points = _limited(df.select(F.col(id).alias("id"), "vec"), sample, seed)
     id_type = points.schema["id"].dataType.simpleString()
 
@@ -218,26 +223,40 @@ def k_distance(
     )
 
 
+def _bucketed(df: DataFrame, value: str, target_rows: int = scale.TASK_ROWS) -> DataFrame:
+    """Column ``_bucket`` that grows with ``value``: NULL is first, NaN last."""
+    order = F.coalesce(F.nanvl(value, F.lit(math.inf)), F.lit(-math.inf))
+    return scale.range_bucket(df.withColumn("_order", order), "_order", "_bucket", target_rows).drop("_order")
+
+
 def k_distance_curve(df: DataFrame, k: int = 10, id: str = "id", **kw) -> DataFrame:
     """The k distances in ascending order with their position."""
-    order = Window.orderBy("distance", id)  # over the bounded sample
-    return k_distance(df, k, id, **kw).withColumn("position", F.row_number().over(order))
+    curve = _bucketed(cut_lineage(k_distance(df, k, id, **kw)), "distance")
+    ranked = scale.number_rows(curve, F.struct("distance", id), bucket=F.col("_bucket"), out="position")
+    return ranked.select(id, "distance", F.col("position").cast("int").alias("position"))
 
 
-def largest_step(df: DataFrame, value: str) -> DataFrame:
-    """The value before the largest jump of the sorted values (first on ties)."""
-    step = F.lead(value).over(Window.orderBy(value)) - F.col(value)
-    return (
-        df.select(F.col(value), step.alias("_step"))
-        .where(F.col("_step").isNotNull())
-        .agg(F.max_by(value, F.struct("_step", -F.col(value))).alias(value))
-    )
+def largest_step(df: DataFrame, value: str, target_rows: int = scale.TASK_ROWS) -> DataFrame:
+    """The value before the largest jump of the sorted values (first on ties).
+
+    Equal values are one value; sorted runs are linked by the first value of
+    the next one, so no task sorts all values.
+    """
+    values = cut_lineage(df.where(F.col(value).isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias("_n")))
+    runs = _bucketed(values, value, target_rows)
+    first = runs.groupBy("_bucket").agg(F.min(value).alias("_first"))
+    after = first.select("_bucket", F.lead("_first").over(Window.orderBy("_bucket")).alias("_after"))  # a row per run
+    following = F.coalesce(F.lead(value).over(Window.partitionBy("_bucket").orderBy(value)), F.col("_after"))
+    steps = runs.join(scale.checked_broadcast(after), "_bucket").withColumn("_step", following - F.col(value))
+    jump = F.max_by(value, F.when(F.col("_step").isNotNull(), F.struct("_step", -F.col(value))))
+    only = F.when(F.sum("_n") > 1, F.min(value))  # equal values alone: steps of zero
+    return steps.agg(F.coalesce(jump, only).alias(value))
 
 
 def suggest_eps(
     df: DataFrame, k: int = 10, id: str = "id", floor: float | None = None, **kw
 ) -> DataFrame:
-    """The elbow of the k-distance curve of a bounded sample."""
+    """The elbow of the k-distance curve."""
     elbow = largest_step(k_distance(df, k, id, **kw), "distance")
     eps = F.col("distance") if floor is None else F.greatest(F.col("distance"), F.lit(floor))
     return elbow.select(eps.alias("eps"))
