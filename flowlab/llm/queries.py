@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F  # noqa: F401
 
-from flowlab.llm import bpe, chat, html, mil, mixing, ppm, rules, simhash, tokencount, vectors
+from flowlab.llm import bpe, bytebpe, chat, html, mil, mixing, ppm, rules, simhash, tokencount, vectors
 from flowlab.llm.common import table
 from flowlab.session import ship_package
 
@@ -111,3 +111,13 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     return html.main_text(table(spark, sf_dir, "pages"))
+
+
+@query("op13_bytebpe")
+def op13_bytebpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids and decoded bytes of every document, as counts and digests."""
+    import public_tokenizers
+
+    return bytebpe.digests(
+        table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    )
