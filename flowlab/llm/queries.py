@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F  # noqa: F401
 
-from flowlab.llm import bpe, bytebpe, chat, html, mil, mixing, ppm, rules, simhash, tokencount, vectors
+from flowlab.llm import alignment, bpe, bytebpe, chat, html, mil, mixing, ppm, rules, simhash, tokencount, vectors
 from flowlab.llm.common import table
 from flowlab.session import ship_package
 
@@ -121,3 +121,17 @@ def op13_bytebpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bytebpe.digests(
         table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
     )
+
+
+@query("op12_alignment")
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Aligned groups and links of two tokenizers in every document."""
+    import public_tokenizers
+
+    return alignment.align_documents(
+        table(spark, sf_dir, "documents"),
+        tokenizer_file("byte_bpe_50k.json"),
+        public_tokenizers.PATTERN,
+        tokenizer_file("piece_bpe_32k.model"),
+        digest=True,
+    )
