@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F  # noqa: F401
 
-from flowlab.llm import alignment, bpe, bytebpe, chat, html, mil, mixing, ppm, rules, simhash, tokencount, vectors
+from flowlab.llm import alignment, bpe, bytebpe, chat, html, mil, mixing, ppm, prefixes, rules, simhash, tokencount, vectors
 from flowlab.llm.common import table
 from flowlab.session import ship_package
 
@@ -135,3 +135,9 @@ def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
         tokenizer_file("piece_bpe_32k.model"),
         digest=True,
     )
+
+
+@query("op11_prefixes", prefixes.SQL)
+def op11_prefixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trie of all conversations after their heads are shared."""
+    return prefixes.trie_of_shared_heads(table(spark, sf_dir, "conversations"))
