@@ -5,13 +5,13 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import PCA, StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowlab.operators import distances as D
+from flowlab.operators import lloyd
 from flowlab.operators import metrics as M
 from flowlab.operators import scale
 from flowlab.session import cut_lineage
@@ -32,19 +32,9 @@ def with_vec(df: DataFrame, features: str = "features") -> DataFrame:
 
 def fit_kmeans(
     df: DataFrame, k: int = 8, max_iter: int = 500, n_init: int = 20, seed: int = 42
-) -> KMeansModel:
-    """Best of ``n_init`` starts by training cost; input has ``features``."""
-    best = None
-    points = df.select("features").persist()  # read by every start and iteration
-    try:
-        for start in range(n_init):
-            model = KMeans(k=k, maxIter=max_iter, seed=seed + start, featuresCol="features",
-                           predictionCol="cluster").fit(points)
-            if best is None or model.summary.trainingCost < best.summary.trainingCost:
-                best = model
-        return best
-    finally:
-        points.unpersist()
+) -> lloyd.KMeansFit:
+    """Cheapest of ``n_init`` starts, which share their passes; input has ``features``."""
+    return lloyd.best_fits(lloyd.fit_all(df, [k], n_init, max_iter, seed))[k]
 
 
 def kmeans(df: DataFrame, k: int = 8, **kw) -> DataFrame:
@@ -58,18 +48,19 @@ def choose_k(
     n_init: int = 10,
     max_iter: int = 300,
     seed: int = 42,
-    sample: int = 3_000,
+    sample: int | None = 3_000,
 ) -> DataFrame:
-    """Sweep of k: inertia, sampled silhouette, and the best k marked."""
-    rows = []
-    for k in ks:
-        model = fit_kmeans(df, k, max_iter, n_init, seed)
-        scored = with_vec(model.transform(df.select(id, "features")))
-        value = D.silhouette(scored, "cluster", id, sample=sample, seed=seed).first()[0]
-        rows.append((int(k), float(model.summary.trainingCost), float(value or 0.0)))
-    best = max(rows, key=lambda r: (r[2], -r[0]))[0]  # one tuple per k
+    """Sweep of k: inertia, silhouette, and the best k marked.
+
+    All starts of all k are fitted in the same passes. Silhouettes compare with
+    ``sample`` points (as defined for the sweep), or with all if it is None.
+    """
+    fits = lloyd.best_fits(lloyd.fit_all(df, ks, n_init, max_iter, seed))
+    found = lloyd.silhouettes(df, fits, id, sample, seed)
+    best = max(fits, key=lambda k: (found[k], -k))  # one number per k
     return df.sparkSession.createDataFrame(
-        [(*r, r[0] == best) for r in rows], "k int, inertia double, silhouette double, is_best boolean"
+        [(k, fits[k].cost, found[k], k == best) for k in sorted(fits)],
+        "k int, inertia double, silhouette double, is_best boolean",
     )
 
 

@@ -183,31 +183,36 @@ def _dbscan_crowded(spark, sf):
 
 
 @query("kmeans", """select vec_id as id, label, true as is_nearest, cast(8 as bigint) as n_clusters,
- count(*) over () as n_points from embeddings""")
+ count(*) over () as n_points, true as better_than_one from embeddings""")
 def _kmeans(spark, sf):
-    """Every point is in the cluster whose centre is nearest, of eight that are all used."""
+    """Every point is in the cluster whose centre is nearest, of eight that are
+    all used and leave at least 3 % less spread than one centre."""
     df = wide(spark, sf)
-    model = K.fit_kmeans(df, 8, n_init=3, max_iter=50)
-    centres = F.array(*[F.array(*[F.lit(float(x)) for x in c]) for c in model.clusterCenters()])
+    model = K.fit_kmeans(df)
+    centres = F.array(*[F.array(*[F.lit(float(x)) for x in c]) for c in model.centres])
     scored = K.with_vec(model.transform(df)).withColumn("gaps", F.transform(centres, lambda c: D.distance(c, F.col("vec"))))
     own = F.element_at("gaps", F.col("cluster") + 1)
-    used = scored.agg(F.count_distinct("cluster").alias("n_clusters"), F.count("*").alias("n_points"))
+    one = sum(F.var_pop(F.element_at("vec", i + 1)) for i in range(len(model.centres[0]))) * F.count("*")
+    left = F.sum(F.pow(F.array_min("gaps"), 2))
+    used = scored.agg(
+        F.count_distinct("cluster").alias("n_clusters"),
+        F.count("*").alias("n_points"),
+        ((left <= 0.97 * one) & (F.abs(left - model.cost) <= 1e-6 * left)).alias("better_than_one"),
+    )
     return scored.select("id", "label", (own <= F.array_min("gaps") + 1e-9).alias("is_nearest")).join(F.broadcast(used))
 
 
-@query("choose_k", """select cast(k as int) as k, k < 5 or n >= 5 as within_points, true as inertia_falls, true as silhouette_in_range, cast(1 as bigint) as n_best
- from (select unnest([2, 3, 4, 5]) as k), (select count(*) as n from embeddings)""")
+@query("choose_k", """select cast(k as int) as k, true as inertia_falls, true as silhouette_in_range, cast(1 as bigint) as n_best
+ from (select unnest(range(2, 16)) as k) where exists (select 1 from embeddings)""")
 def _choose_k(spark, sf):
-    """The sweep covers every k, inertia does not rise with k, one k is the best."""
-    df = wide(spark, sf)
-    table = K.choose_k(df, range(2, 6), n_init=1, max_iter=20)
+    """The sweep covers every k, inertia falls with k, one k is the best."""
+    table = K.choose_k(wide(spark, sf))
     whole = Window.partitionBy()  # one row per k
     before = F.lag("inertia").over(whole.orderBy("k"))
     top = F.max(F.when(F.col("is_best"), F.col("silhouette"))).over(whole) == F.max("silhouette").over(whole)
     return table.select(
         "k",
-        (F.col("k") <= F.lit(df.count())).alias("within_points"),
-        F.coalesce(F.col("inertia") <= before * 1.02, F.lit(True)).alias("inertia_falls"),
+        F.coalesce(F.col("inertia") < before, F.lit(True)).alias("inertia_falls"),
         (F.col("silhouette").between(-1, 1) & top).alias("silhouette_in_range"),
         F.sum(F.col("is_best").cast("int")).over(whole).alias("n_best"),
     )

@@ -46,7 +46,7 @@ def run_unsupervised(
     config = config or {}
     model = K.fit_kmeans(train, **(KMEANS | dict(config.get("kmeans", {}))))
     scored = K.with_vec(model.transform(test))
-    report = K.cluster_report(scored, "cluster", id, actual="label_idx", inertia=model.summary.trainingCost)
+    report = K.cluster_report(scored, "cluster", id, actual="label_idx", inertia=model.cost)
     profiles = P.cluster_profiles(scored, "cluster", features)
     chosen = train if dbscan_sample is None else sampling.bounded_sample(train, dbscan_sample, 42, [id])
     points = K.with_vec(chosen).select(id, "vec")
@@ -54,7 +54,7 @@ def run_unsupervised(
     dense = K.cluster_report(points.join(labels, id), "cluster", id, noise=True)
     if output:
         sinks.write_profiles(profiles, f"{output}/kmeans_cluster_profiles")
-        model.write().overwrite().save(f"{output}/kmeans_model")
+        sinks.write_model(train.sparkSession, model, f"{output}/kmeans_model")
         sinks.write_flows(labels, f"{output}/dbscan_labels")
     return _named("kmeans", report).unionByName(_named("dbscan", dense))
 

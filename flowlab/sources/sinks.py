@@ -8,11 +8,11 @@ from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import RandomForestClassificationModel
-from pyspark.ml.clustering import KMeansModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowlab.operators.classifying import SvmModel
+from flowlab.operators.lloyd import KMeansFit
 from flowlab.operators.preparing import Preprocessor, load_preprocessor, save_preprocessor
 
 
@@ -75,40 +75,41 @@ class State:
     classes: list[str]
 
 
-_LOADERS = {
-    "forest": RandomForestClassificationModel.load,
-    "kmeans": KMeansModel.load,
-    "pipeline": PipelineModel.load,
-}
+#: models with files of their own, and models kept as one JSON text
+_SAVED = {"forest": RandomForestClassificationModel, "pipeline": PipelineModel}
+_TEXTS = {"svm": SvmModel, "kmeans": KMeansFit}
 
 
 def _kind(model) -> str:
-    if isinstance(model, SvmModel):
-        return "svm"
-    for kind, cls in (
-        ("forest", RandomForestClassificationModel), ("kmeans", KMeansModel), ("pipeline", PipelineModel),
-    ):
+    for kind, cls in (_SAVED | _TEXTS).items():
         if isinstance(model, cls):
             return kind
     raise ValueError(f"cannot save {type(model).__name__}")
 
 
+def write_model(spark: SparkSession, model, path: str) -> None:
+    """A fitted model in the form of its kind."""
+    if _kind(model) in _TEXTS:
+        _write(spark.createDataFrame([(model.to_json(),)], "value string").coalesce(1), path, "text", "overwrite")
+    else:
+        model.write().overwrite().save(path)
+
+
+def read_model(spark: SparkSession, kind: str, path: str):
+    if kind in _TEXTS:
+        return _TEXTS[kind].from_json(spark.read.text(path).first()[0])
+    return _SAVED[kind].load(path)
+
+
 def save_state(spark: SparkSession, state: State, path: str) -> None:
     kind = _kind(state.model)
     save_preprocessor(spark, state.preprocessor, f"{path}/preprocessor")
-    if kind == "svm":
-        _write(spark.createDataFrame([(state.model.to_json(),)], "value string").coalesce(1),
-               f"{path}/model", "text", "overwrite")
-    else:
-        state.model.write().overwrite().save(f"{path}/model")
+    write_model(spark, state.model, f"{path}/model")
     meta = json.dumps({"kind": kind, "classes": state.classes})
     _write(spark.createDataFrame([(meta,)], "value string").coalesce(1), f"{path}/meta", "text", "overwrite")
 
 
 def load_state(spark: SparkSession, path: str) -> State:
     meta = json.loads(spark.read.text(f"{path}/meta").first()[0])
-    if meta["kind"] == "svm":
-        model = SvmModel.from_json(spark.read.text(f"{path}/model").first()[0])
-    else:
-        model = _LOADERS[meta["kind"]](f"{path}/model")
+    model = read_model(spark, meta["kind"], f"{path}/model")
     return State(load_preprocessor(spark, f"{path}/preprocessor"), model, meta["classes"])
