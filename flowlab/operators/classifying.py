@@ -11,13 +11,10 @@ import json
 from collections.abc import Sequence
 from dataclasses import asdict, dataclass
 from itertools import product
-from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pandas as pd
-from pyspark import inheritable_thread_target
 from pyspark.ml.classification import (
-    LinearSVC,
     LogisticRegression,
     MultilayerPerceptronClassifier,
     RandomForestClassifier,
@@ -27,6 +24,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from flowlab.operators import block_svm
 from flowlab.operators import metrics as M
 from flowlab.operators import sampling
 from flowlab.operators import windows as W
@@ -228,17 +226,6 @@ def kernel_gamma(df: DataFrame, gamma: str | float) -> tuple[float, int]:
     return float(gamma), dims
 
 
-def _kernel_error(df: DataFrame, mapped, gamma: float, pairs: int = 200) -> float:
-    rows = df.select(vector_to_array("features").alias("x")).limit(2 * pairs).collect()
-    x = np.array([r[0] for r in rows], dtype=np.float64)
-    half = len(x) // 2
-    if not half:
-        return 0.0
-    a, b = x[:half], x[half : 2 * half]
-    exact = np.exp(-gamma * ((a - b) ** 2).sum(axis=1))
-    return float(np.abs((mapped(a) * mapped(b)).sum(axis=1) - exact).mean())
-
-
 def svm(
     df: DataFrame,
     kernel: str = "rbf",
@@ -248,59 +235,54 @@ def svm(
     n_components: int = 256,
     seed: int = 42,
     n_classes: int | None = None,
-    parallelism: int = 8,
 ) -> SvmModel:
     """Balanced one-versus-rest SVMs with calibrated probabilities.
 
-    ``regParam = 1 / (C n)`` makes the linear objective equal to the usual
-    one. The mapped table is cached because every class reads it.
+    Rows are mapped where they are read, in blocks; ``max_iter`` bounds the
+    passes over them. All classes share the passes.
     """
     value, dims = kernel_gamma(df, gamma)
     mapped = _fourier_map(kernel, value, n_components, dims, seed)
-
-    @F.pandas_udf("array<double>")
-    def to_features(x: pd.Series) -> pd.Series:
-        return pd.Series(list(mapped(np.array(x.tolist(), dtype=np.float64))))
-
-    weighted = spread(attach_weights(df.select("features", LABEL), LABEL))
-    table = weighted.select(
-        array_to_vector(to_features(vector_to_array("features"))).alias("features"), LABEL, "weight"
-    ).persist()
+    rows = _svm_rows(df.withColumn("fold", F.lit(0))).persist()
     try:
-        n = table.count()
-        if n_classes is None:
-            n_classes = int(table.agg(F.max(LABEL)).first()[0]) + 1
-
-        def one_against_rest(c: int):
-            one = table.withColumn("is_class", (F.col(LABEL) == c).cast("double"))
-            return LinearSVC(
-                featuresCol="features", labelCol="is_class", weightCol="weight",
-                regParam=1.0 / (C * n), maxIter=max_iter, standardization=False,
-            ).fit(one)
-
-        with ThreadPool(min(parallelism, n_classes)) as pool:
-            fit = inheritable_thread_target(df.sparkSession)(one_against_rest)
-            models = pool.map(fit, range(n_classes))
-        coefficients = [m.coefficients.toArray().tolist() for m in models]
-        intercepts = [float(m.intercept) for m in models]
-        calibration, offsets = calibrate(table, coefficients, intercepts, n_classes)
+        counts = block_svm.class_counts(rows)
+        n_classes = n_classes or counts.shape[1]
+        w = block_svm.solve(
+            rows, [block_svm.Problem(kernel, C)], {kernel: mapped},
+            {kernel: dims if kernel == "linear" else n_components}, counts, n_classes, max_iter,
+        )[0]
+        coefficients, intercepts = w[:, :-1].tolist(), w[:, -1].tolist()
+        calibration, offsets = calibrate(rows, mapped, coefficients, intercepts, n_classes)
+        error = block_svm.kernel_error(rows, mapped, value) if kernel == "rbf" else 0.0
     finally:
-        table.unpersist()
-    error = _kernel_error(df, mapped, value) if kernel == "rbf" else 0.0
+        rows.unpersist()
     return SvmModel(
         kernel, value, n_components, dims, seed, coefficients, intercepts, calibration, offsets, error
     )
 
 
-def calibrate(table: DataFrame, coefficients, intercepts, n_classes: int):
+def _svm_rows(df: DataFrame) -> DataFrame:
+    """``vec``, ``label``, ``fold`` in even partitions."""
+    return spread(
+        df.select(
+            vector_to_array("features").alias("vec"),
+            F.col(LABEL).cast("int").alias("label"),
+            F.col("fold").cast("int").alias("fold"),
+        )
+    )
+
+
+def calibrate(rows: DataFrame, mapped, coefficients, intercepts, n_classes: int):
     """Multinomial logistic regression on the one-versus-rest margins."""
     coef, bias = np.array(coefficients).T, np.array(intercepts)
 
     @F.pandas_udf("array<double>")
     def margins(x: pd.Series) -> pd.Series:
-        return pd.Series(list(np.array(x.tolist(), dtype=np.float64) @ coef + bias))
+        if not len(x):
+            return pd.Series([], dtype=object)
+        return pd.Series(list(mapped(np.array(x.tolist(), dtype=np.float64)) @ coef + bias))
 
-    scored = table.select(array_to_vector(margins(vector_to_array("features"))).alias("margins"), LABEL)
+    scored = rows.select(array_to_vector(margins("vec")).alias("margins"), F.col("label").alias(LABEL))
     model = LogisticRegression(
         featuresCol="margins", labelCol=LABEL, family="multinomial", regParam=1e-4, maxIter=100
     ).fit(scored)
@@ -317,32 +299,76 @@ SVM_GRID = {"C": [0.1, 1.0, 10.0, 100.0], "gamma": ["scale", "auto", 0.01, 0.1],
 
 
 def svm_grid(
-    df: DataFrame, grid: dict | None = None, folds: int = 3, seed: int = 42,
-    ids: Sequence[str] = ("row_id",), **kw
+    df: DataFrame,
+    grid: dict | None = None,
+    folds: int = 3,
+    seed: int = 42,
+    ids: Sequence[str] = ("row_id",),
+    max_iter: int = 200,
+    n_components: int = 256,
 ) -> DataFrame:
-    """Cross-validated weighted F1 of every combination, the best one marked."""
+    """Cross-validated weighted F1 of every combination, the best one marked.
+
+    All combinations and folds are fitted in the same passes over the rows;
+    ``max_iter`` bounds the passes. A named gamma is that of the training rows
+    of each fold. The linear kernel has no gamma, so it is fitted once per C
+    and fold.
+    """
     grid = grid or SVM_GRID
-    table = sampling.stratified_folds(df, folds, seed, ids, LABEL).persist()
-    rows = []
+    folded = sampling.stratified_folds(df, folds, seed, ids, LABEL)
+    rows = _svm_rows(folded).persist()
     try:
-        n_classes = int(table.agg(F.max(LABEL)).first()[0]) + 1
-        for C, gamma, kernel in product(grid["C"], grid["gamma"], grid["kernel"]):
-            scores = []
-            for i in range(folds):
-                model = svm(table.where(F.col("fold") != i), kernel, C, gamma, seed=seed,
-                            n_classes=n_classes, **kw)
-                scored = model.score(table.where(F.col("fold") == i))
-                scores.append(M.weighted_metrics(scored, LABEL, "prediction").first()["f1_weighted"])
-            rows.append((float(C), str(gamma), kernel, float(np.mean(scores))))
+        counts = block_svm.class_counts(rows)
+        gammas, dims = _fold_gammas(rows, folds, grid["gamma"])
+        combinations = list(product(grid["C"], grid["gamma"], grid["kernel"]))
+
+        def problem(C, gamma, kernel, fold):
+            value = gammas[gamma, fold] if kernel == "rbf" else None
+            return block_svm.Problem((kernel, value), C, fold)
+
+        problems = list(dict.fromkeys(problem(*c, fold) for c in combinations for fold in range(folds)))
+        kernels = {p.kernel for p in problems}
+        maps = {k: _fourier_map(k[0], k[1], n_components, dims, seed) for k in kernels}
+        widths = {k: n_components if k[0] == "rbf" else dims for k in kernels}
+        w = block_svm.solve(rows, problems, maps, widths, counts, counts.shape[1], max_iter)
+        tables = dict(zip(problems, block_svm.confusion(rows, problems, maps, w)))
     finally:
-        table.unpersist()
-    best = max(range(len(rows)), key=lambda i: (rows[i][3], -i))
+        rows.unpersist()
+    found = [
+        float(np.mean([block_svm.weighted_f1(tables[problem(*c, fold)]) for fold in range(folds)]))
+        for c in combinations
+    ]
+    best = max(range(len(found)), key=lambda i: (found[i], -i))
     return df.sparkSession.createDataFrame(
-        [(*r, i == best) for i, r in enumerate(rows)],
+        [(float(C), str(gamma), kernel, found[i], i == best) for i, (C, gamma, kernel) in enumerate(combinations)],
         "C double, gamma string, kernel string, f1_weighted double, is_best boolean",
     )
 
 
+def _fold_gammas(rows: DataFrame, folds: int, names: Sequence) -> tuple[dict, int]:
+    """The value of every gamma for the training rows of every fold."""
+    per_fold = (
+        rows.groupBy("fold")
+        .agg(Summarizer.metrics("mean", "variance", "count").summary(array_to_vector("vec")).alias("s"))
+        .select("fold", "s.*")
+        .collect()
+    )  # a row per fold
+    mean = {r["fold"]: r["mean"].toArray() for r in per_fold}
+    spread_ = {r["fold"]: r["variance"].toArray() * (r["count"] - 1) for r in per_fold}
+    size = {r["fold"]: r["count"] for r in per_fold}
+    dims = len(next(iter(mean.values())))
+    out = {}
+    for fold in range(folds):
+        kept = [f for f in mean if f != fold]
+        n = sum(size[f] for f in kept)
+        center = sum(mean[f] * size[f] for f in kept) / n
+        square = sum(spread_[f] + size[f] * (mean[f] - center) ** 2 for f in kept) / n
+        total = square.mean() + center.var()  # of all entries
+        values = {"auto": 1.0 / dims, "scale": 1.0 / (dims * total) if total > 0 else 1.0}
+        out |= {(name, fold): values[name] if isinstance(name, str) else float(name) for name in names}
+    return out, dims
+
+
 # --- classifier on windows -----------------------------------------------------------------
 
 @dataclass

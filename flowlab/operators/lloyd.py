@@ -176,7 +176,7 @@ def _assign(points: DataFrame, origin: np.ndarray, stacks: list[np.ndarray]):
         total[row["centre"]] = row["sums"].toArray()
     return (
         [total[a:b, :-2] for a, b in cuts],
-        [total[a:b, -2] for a, b in cuts],
+        [np.rint(total[a:b, -2]) for a, b in cuts],  # Spark's sums come from running means
         [float(total[a:b, -1].sum()) for a, b in cuts],
     )
 
@@ -295,7 +295,7 @@ def silhouettes(
         if not len(total):
             return pd.Series([], dtype=object)
         t = np.array(total.tolist())
-        distance, size = t[:, : len(flat)], t[:, len(flat) :]
+        distance, size = t[:, : len(flat)], np.rint(t[:, len(flat) :])
         own = owners(np.array(x.tolist()))
         rows, out = np.arange(len(t)), []
         for j, (a, b) in enumerate(cuts):
