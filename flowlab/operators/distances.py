@@ -12,11 +12,13 @@ computation that returns a summary per point, never the pairs.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from itertools import product
 
 import numpy as np
 import pandas as pd
+from pyspark.ml.feature import PCA
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,6 +31,8 @@ BLOCK_ROWS = 2_000
 BROADCAST_ROWS = 20_000
 #: points of a cell beyond which its joins are split
 CELL_ROWS = 20_000
+#: principal axes of a grid; a point has 3 to this power adjacent cells
+MOST_AXES = 4
 #: rows a silhouette sample may have
 SAMPLE_ROWS = 5_000
 
@@ -70,36 +74,70 @@ def _shifted(cell: Column, axes: int, reach: int = 1) -> Column:
     )
 
 
-def near_pairs(
-    left: DataFrame,
-    right: DataFrame,
-    eps: float,
-    condition: Column | None = None,
-    *,
-    axes: int = 2,
-    dims: int | None = None,
-    cell_rows: int = CELL_ROWS,
-) -> DataFrame:
-    """Rows of ``left`` with the rows of ``right`` at most ``eps`` away.
+def principal_axes(df: DataFrame, eps: float, most: int = MOST_AXES) -> tuple[np.ndarray, float] | None:
+    """The leading principal axes along which the points spread over several
+    cells of side ``eps``, and the slack of projections on them.
 
-    Columns keep their names with prefixes ``l_`` and ``r_``. Both inputs have
-    ``id`` and ``vec``. The first ``axes`` coordinates form the grid: a true
-    neighbour is always in an adjacent cell. Where a neighbourhood is crowded,
-    both sides are cut into parts by a hash of the id and every pair of parts
-    is its own join key, so that no task receives a whole cell.
+    An axis with less spread cannot keep points apart and would only multiply
+    the cells. None if the first coordinates are as good: for two coordinates,
+    and where no axis is wide enough. One pass for the covariance, one for the
+    spread along the axes.
+    """
+    dims = dimensions(df)
+    if dims <= 2:
+        return None
+    k = min(most, dims)
+    points = df.select(array_to_vector("vec").alias("v"))
+    axes = PCA(k=k, inputCol="v", outputCol="p").fit(points).pc.toArray()
+    on = [_projected(F.col("vec"), axes[:, i]) for i in range(k)]
+    found = df.agg(
+        *[(F.max(c) - F.min(c)).alias(f"s{i}") for i, c in enumerate(on)],
+        F.max(F.aggregate("vec", F.lit(0.0), lambda s, x: s + x * x)).alias("square"),
+    ).first()
+    wide = [i for i in range(k) if (found[f"s{i}"] or 0.0) > 2 * eps]
+    # rounding of a projection is far below this share of the longest vector
+    slack = 1e-12 * math.sqrt(found["square"] or 0.0) * dims
+    return (axes[:, wide], slack) if wide and math.isfinite(slack) else None
+
+
+def _projected(vec: Column, axis: np.ndarray) -> Column:
+    weights = F.array(*[F.lit(float(a)) for a in axis])
+    return F.aggregate(F.zip_with(vec, weights, lambda x, w: x * w), F.lit(0.0), lambda s, x: s + x)
+
+
+def _grid(df: DataFrame, eps: float, axes: int) -> tuple[Callable[[DataFrame], DataFrame], int]:
+    """A function that adds ``cell``, and the number of axes of the cells:
+    points within ``eps`` are in the same cell or in adjacent ones."""
+    found = principal_axes(df, eps)
+    if found is None:
+        return lambda f: f.withColumn("cell", _cell(F.col("vec"), eps, axes)), axes
+    basis, slack = found
+    on = F.array(*[_projected(F.col("vec"), basis[:, i]) for i in range(basis.shape[1])])
+    cell = _cell(on, eps + 2 * slack, basis.shape[1])
+    return lambda f: f.withColumn("cell", cell), basis.shape[1]
+
+
+def candidate_pairs(
+    left: DataFrame, right: DataFrame, eps: float, *, axes: int = 2, dims: int | None = None, cell_rows: int = CELL_ROWS
+) -> DataFrame:
+    """Pairs of rows in the same or in adjacent cells: all within ``eps`` and
+    others near them, prefixed ``l_`` and ``r_``.
+
+    The grid is laid over the leading principal axes of ``right`` (a projection
+    never lengthens a distance) or, in the plane, over the coordinates. Where a
+    neighbourhood is crowded, both sides are cut into parts by a hash of the id
+    and every pair of parts is its own join key, so that no task receives a
+    whole cell.
     """
     axes = min(axes, dims if dims is not None else dimensions(left))
-    lefts = left.select(
+    placed, axes = _grid(right, eps, axes)
+    left_cells, right_cells = placed(left), placed(right)
+    lefts = left_cells.select(
         *[F.col(c).alias(f"l_{c}") for c in left.columns],
-        F.explode(_shifted(_cell(F.col("vec"), eps, axes), axes)).alias("cell"),
-    )
-    rights = right.select(
-        *[F.col(c).alias(f"r_{c}") for c in right.columns],
-        _cell(F.col("vec"), eps, axes).alias("cell"),
-    )
-    own = left.select(_cell(F.col("vec"), eps, axes).alias("cell")).unionByName(
-        right.select(_cell(F.col("vec"), eps, axes).alias("cell"))
+        F.explode(_shifted(F.col("cell"), axes)).alias("cell"),
     )
+    rights = right_cells.select(*[F.col(c).alias(f"r_{c}") for c in right.columns], "cell")
+    own = left_cells.select("cell").unionByName(right_cells.select("cell"))
     crowded = (
         own.groupBy("cell")
         .agg(F.count(F.lit(1)).alias("n"))
@@ -125,10 +163,30 @@ def near_pairs(
     met = spread(lefts, "i", "j", "l_id").join(
         spread(rights, "j", "i", "r_id"), ["cell", "i", "j"]
     )
+    return met.drop("cell", "i", "j")
+
+
+def near_pairs(
+    left: DataFrame,
+    right: DataFrame,
+    eps: float,
+    condition: Column | None = None,
+    *,
+    axes: int = 2,
+    dims: int | None = None,
+    cell_rows: int = CELL_ROWS,
+) -> DataFrame:
+    """Rows of ``left`` with the rows of ``right`` at most ``eps`` away.
+
+    Columns keep their names with prefixes ``l_`` and ``r_``. Both inputs have
+    ``id`` and ``vec``. Distances are those of all coordinates of
+    :func:`candidate_pairs`.
+    """
+    met = candidate_pairs(left, right, eps, axes=axes, dims=dims, cell_rows=cell_rows)
     close = distance(F.col("l_vec"), F.col("r_vec")) <= F.lit(float(eps))
     if condition is not None:
         close = condition & close
-    return met.where(close).drop("cell", "i", "j")
+    return met.where(close)
 
 
 def eps_pairs(df: DataFrame, eps: float, id: str = "id", **kw) -> DataFrame:

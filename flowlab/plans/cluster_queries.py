@@ -182,6 +182,30 @@ def _dbscan_crowded(spark, sf):
     return K.dbscan(points(spark, sf), 0.08, 4, cell_rows=5)
 
 
+WIDE_DIST = "list_distance(cast(a.embedding as double[]), cast(b.embedding as double[]))"
+
+
+def all_coordinates(spark, sf):
+    return t.embeddings(spark, sf).select(
+        F.col("vec_id").alias("id"), F.transform("embedding", lambda x: x.cast("double")).alias("vec")
+    )
+
+
+@query("dbscan_all_dimensions", "with recursive pairs as (" + f"""
+ select a.vec_id as a, b.vec_id as b from embeddings a, embeddings b where {WIDE_DIST} <= 1.1),
+core as (select a as id from pairs group by a having count(*) >= 4),
+links as (select a, b from pairs where a in (select id from core) and b in (select id from core)),
+reached as (select id as a, id as b from core union select r.a, l.b from reached r join links l on r.b = l.a),
+roots as (select b as id, min(a) as root from reached group by b),
+named as (select id, cast(dense_rank() over (order by root) - 1 as integer) as cluster from roots),
+border as (select a as id, min(cluster) as cluster from pairs join named on b = named.id where a not in (select id from core) group by a)
+select vec_id as id, coalesce(named.cluster, border.cluster, -1) as cluster from embeddings
+ left join named on vec_id = named.id left join border on vec_id = border.id""")
+def _dbscan_wide(spark, sf):
+    """Density clusters of all 64 coordinates."""
+    return K.dbscan(all_coordinates(spark, sf), 1.1, 4)
+
+
 @query("kmeans", """select vec_id as id, label, true as is_nearest, cast(8 as bigint) as n_clusters,
  count(*) over () as n_points, true as better_than_one from embeddings""")
 def _kmeans(spark, sf):

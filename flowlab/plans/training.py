@@ -18,7 +18,6 @@ from flowlab.sources import sinks
 # Defaults of the training configuration.
 KMEANS = {"k": 8, "max_iter": 500, "n_init": 20, "seed": 42}
 DBSCAN = {"eps": 0.5, "min_samples": 10}
-DBSCAN_SAMPLE = 10_000
 SVM = {"kernel": "rbf", "C": 10.0, "gamma": "scale"}
 FOREST = {"n_trees": 200, "max_depth": 20, "min_split": 5, "seed": 42}
 
@@ -34,14 +33,14 @@ def run_unsupervised(
     config: Mapping | None = None,
     *,
     id: str = "row_id",
-    dbscan_sample: int | None = DBSCAN_SAMPLE,
+    dbscan_sample: int | None = None,
     output: str | None = None,
 ) -> DataFrame:
     """K-means on the training rows evaluated on the test rows, then DBSCAN.
 
     Inputs have ``features`` and, for the test rows, ``label_idx`` and the
-    feature columns. DBSCAN takes a bounded sample of the training rows;
-    ``dbscan_sample=None`` takes all.
+    feature columns. DBSCAN takes all training rows, or a sample of
+    ``dbscan_sample`` rows where one is wanted.
     """
     config = config or {}
     model = K.fit_kmeans(train, **(KMEANS | dict(config.get("kmeans", {}))))
