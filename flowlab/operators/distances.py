@@ -80,12 +80,13 @@ def principal_axes(df: DataFrame, eps: float, most: int = MOST_AXES) -> tuple[np
 
     An axis with less spread cannot keep points apart and would only multiply
     the cells. None if the first coordinates are as good: for two coordinates,
-    and where no axis is wide enough. One pass for the covariance, one for the
+    where no axis is wide enough, and without points. One pass for the covariance, one for the
     spread along the axes.
     """
-    dims = dimensions(df)
-    if dims <= 2:
+    first = df.select(F.size("vec")).first()
+    if first is None or first[0] <= 2:
         return None
+    dims = first[0]
     k = min(most, dims)
     points = df.select(array_to_vector("vec").alias("v"))
     axes = PCA(k=k, inputCol="v", outputCol="p").fit(points).pc.toArray()
