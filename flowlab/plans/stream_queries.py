@@ -25,6 +25,7 @@ from flowlab.schema import FLOW_FEATURES, PACKET_SCHEMA, SYNTHETIC_CLASSES
 from flowlab.sources import datasets, files, pcap, sinks, tables as t
 from flowlab.streaming import flows as st
 from flowlab.streaming import scoring
+from flowlab.streaming.sessions import SESSION_FEATURES, stream_sessions
 
 DELAY = 6.0
 SELECTED = [f for f in FLOW_FEATURES if not f.endswith(("iat_min", "iat_max"))]
@@ -98,6 +99,30 @@ def _stream_flush(spark, sf):
     return rounded(streamed.unionByName(still_open))
 
 
+def session_sql(n, closed):
+    """Flows split by silence alone, with the features that sessions have."""
+    rows = ", ".join(f if f.endswith("_count") or f.startswith("total_") else f"round({f}, 6) as {f}" for f in SESSION_FEATURES)
+    return with_views(
+        "packets", KEYED, *sequenced(TIMEOUT, False), ("flows", exact_flow_sql(n)),
+        ("mark", f"select (floor(max(ts) * 1000) - {DELAY * 1000}) / 1000.0 as mark from packets"),
+        then=f"""select a_ip, b_ip, a_port, b_port, protocol, round(start_ts, 6) as start_ts, round(end_ts, 6) as end_ts,
+ n_packets, {rows} from flows, mark where {f"mark > end_ts + {TIMEOUT}" if closed else "true"}""",
+    )
+
+
+@query("stream_sessions", session_sql(5, True))
+def _stream_sessions(spark, sf):
+    """Native session windows over the stream; open sessions stay in the state."""
+    source = st.packet_stream(spark, packet_files(spark, sf), max_files=2)
+    return rounded(run_to_files(stream_sessions(source, TIMEOUT, 5, f"{int(DELAY)} seconds"), spark))
+
+
+@query("session_flows", session_sql(1, False))
+def _session_flows(spark, sf):
+    """The same aggregation over all packets at once."""
+    return rounded(stream_sessions(t.packets(spark, sf), TIMEOUT, 1))
+
+
 def scorer(spark, sf):
     """A forest on the batch flows; the class is the protocol."""
     flows = fl.flow_features(t.packets(spark, sf), TIMEOUT, True)

@@ -72,3 +72,22 @@ def test_state_is_bounded():
     assert st._unpack(st._pack(flow)) == flow
     assert st._size(flow) == 3000
     assert flow["iat"][0] == 2999 and flow["iat"][1] == pytest.approx(0.01)
+
+
+def test_sessions_need_no_python_and_keep_a_gap_of_the_timeout(spark):
+    from flowlab.schema import PACKET_SCHEMA
+    from flowlab.streaming.sessions import stream_sessions
+
+    def packet(i, ts, back=False):
+        ends = ("10.0.0.2", "10.0.0.1", 80, 9) if back else ("10.0.0.1", "10.0.0.2", 9, 80)
+        own = {"packet_id": i, "ts": ts, "src_ip": ends[0], "dst_ip": ends[1], "src_port": ends[2], "dst_port": ends[3]}
+        own |= {"protocol": 17, "size": 100 + i, "header_size": 28, "tcp_flags": 0}
+        return tuple(own.get(c) for c in PACKET_SCHEMA.fieldNames())
+
+    rows = [packet(3, 6.0, True), packet(1, 0.0), packet(2, 1.0, True), packet(4, 11.5), packet(5, None)]
+    flows = stream_sessions(spark.createDataFrame(rows, PACKET_SCHEMA), 5.0, 1)
+    assert "Python" not in flows._jdf.queryExecution().executedPlan().toString()
+    first, second = flows.orderBy("start_ts").collect()
+    assert (first.n_packets, first.fwd_packet_count, first.bwd_packet_count) == (3, 1, 2)
+    assert (first.iat_mean, first.bwd_iat_mean, first.fwd_iat_mean) == (3.0, 5.0, 0.0)
+    assert (second.n_packets, second.fwd_packet_count, second.total_fwd_bytes, second.iat_mean) == (1, 1, 104, 0.0)
