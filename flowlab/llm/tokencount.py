@@ -16,8 +16,9 @@ end-of-document number, so they are committed like any other output.
 so that the file alone tells which document is which; ``count_documents`` takes
 that line out of the counts again.
 
-Defined results: a null or empty text has no tokens; a null id is an empty
-line and comes back as null; repeated rows are repeated documents; an empty
+Defined results: a null or empty text has no tokens; ids may be of any length
+and hold line breaks (they are escaped in the line), and null and empty ids
+come back as what they were; repeated rows are repeated documents; an empty
 file has no documents; tokens after the last separator are a document that was
 cut off (``complete`` is false); an empty table gives an empty result. Other
 columns are ignored, so their names cannot clash.
@@ -26,7 +27,9 @@ columns are ignored, so their names cannot clash.
 from __future__ import annotations
 
 import base64
+import re
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -43,7 +46,8 @@ END = 50_256
 #: bytes of a block; a multiple of the width of a number
 BLOCK_BYTES = 4 << 20
 WIDTH = 2
-#: tokens at the beginning of a document that may hold its id line
+#: tokens at the beginning of a document that the scan keeps; an id line that
+#: is longer is read from the file once more
 HEAD = 24
 # Fixed value: how the vocabulary cuts a text into pieces.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -60,9 +64,20 @@ def encoding(path: str) -> tiktoken.Encoding:
     return _encodings[path]
 
 
+def _escaped(key: str | None) -> str:
+    """An id as one line; null has a form that no id can get."""
+    return r"\N" if key is None else key.replace("\\", r"\\").replace("\n", r"\n")
+
+
+def _unescaped(line: str) -> str | None:
+    if line == r"\N":
+        return None
+    return re.sub(r"\\(.)", lambda m: "\n" if m[1] == "n" else m[1], line)
+
+
 def write_token_files(docs: DataFrame, folder: str, path: str, text: str = "text", key: str = "doc_id") -> None:
     """Flat token files of all documents, each with its id as first line."""
-    source = docs.select(F.col(key).cast("string").alias("key"), F.col(text).alias("text"))
+    source = docs.select(F.col(f"`{key}`").cast("string").alias("key"), F.col(f"`{text}`").alias("text"))
     schema = pa.schema([("value", pa.binary())])
 
     def run(batches):
@@ -73,7 +88,7 @@ def write_token_files(docs: DataFrame, folder: str, path: str, text: str = "text
                 keys = part.column(0).to_pylist()
                 rows = [
                     np.concatenate(
-                        [model.encode_ordinary(f"{'' if k is None else k}\n"), model.encode_ordinary(t or "")]
+                        [model.encode_ordinary(_escaped(k) + "\n"), model.encode_ordinary(t or "")]
                     ).astype("<u2").tobytes()
                     for k, t in zip(keys, part.column(1).to_pylist())
                 ]
@@ -185,6 +200,15 @@ def scan(spark: SparkSession, folder: str, block_bytes: int = BLOCK_BYTES, end:
     return found.where("closed or n_tokens > 0").withColumnRenamed("closed", "complete")
 
 
+def _numbers_from(head: bytes, file: str, start: int) -> Iterator[int]:
+    """Numbers of a document: those of its head, then those of the file."""
+    yield from np.frombuffer(head, "<u2").tolist()
+    with open_input(file) as f:
+        f.seek(WIDTH * start + len(head))
+        while data := f.read(1 << 14):
+            yield from np.frombuffer(data, "<u2").tolist()
+
+
 def count_documents(docs: DataFrame, path: str, text: str = "text", key: str = "doc_id", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Write the token files of all documents and count by scanning them.
 
@@ -194,19 +218,21 @@ def count_documents(docs: DataFrame, path: str, text: str = "text", key: str = "
     folder = f"{checkpoint_dir(spark).rstrip('/')}/tokens-{uuid.uuid4().hex}"
     write_token_files(docs, folder, path, text, key)
     found = scan(spark, folder, block_bytes).select("file", "document", "start", "n_tokens", "head")
-    kind = docs.schema[key].dataType.simpleString()
+    kind = docs.select(F.col(f"`{key}`")).schema[0].dataType.simpleString()
 
     def name(batches):
         model = encoding(path)
         for batch in batches:
             keys, lines = [], []
-            for head in byte_column(batch.column(4)):
-                numbers = np.frombuffer(head, "<u2").tolist()
+            places = zip(batch.column(0).to_pylist(), batch.column(2).to_pylist())
+            for head, place in zip(byte_column(batch.column(4)), places):
                 line, used = b"", 0
-                while not line.endswith(b"\n"):
-                    line += model.decode_single_token_bytes(numbers[used])
+                for number in _numbers_from(head, *place):
+                    line += model.decode_single_token_bytes(number)
                     used += 1
-                keys.append(line[:-1].decode() or None)
+                    if line.endswith(b"\n"):
+                        break
+                keys.append(_unescaped(line[:-1].decode()))
                 lines.append(used)
             used = np.array(lines, dtype=np.int64)
             yield pa.RecordBatch.from_arrays(

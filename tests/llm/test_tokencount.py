@@ -33,6 +33,17 @@ def test_blocks_of_any_size_agree(spark, model, block_bytes):
     assert got == sorted((str(i), len(model.encode_ordinary(t or ""))) for i, t, _ in rows)
 
 
+@pytest.mark.parametrize("block_bytes", [2, 64, 1 << 20])
+def test_ids_of_any_length_and_form(spark, model, block_bytes):
+    url = "https://example.org/" + "/".join(f"part-{i}?q={i * i}" for i in range(40))
+    ids = [url, "a\nb", "a\\nb", "\\N", "\\", "\n", "", None, " x \n\n ", "x" * 3_000, url]
+    rows = [(k, t) for k in ids for t in ("some text\nof lines", "")]
+    docs = spark.createDataFrame(rows, "`doc id` string, `a text` string").repartition(2)
+    found = tokencount.count_documents(docs, PATH, "a text", "doc id", block_bytes)
+    got = sorted((str(r["doc id"]), r["doc id"] is None, r.n_tokens) for r in found.collect())
+    assert got == sorted((str(k), k is None, len(model.encode_ordinary(t))) for k, t in rows)
+
+
 @pytest.mark.parametrize("block_bytes", [2, 10, 4096])
 def test_scan_of_files_from_elsewhere(spark, tmp_path, block_bytes):
     draw = np.random.default_rng(1)
