@@ -24,7 +24,7 @@ from flowlab.plans.table_queries import NUMERIC, cic_labeled
 from flowlab.schema import FLOW_FEATURES, PACKET_SCHEMA, SYNTHETIC_CLASSES
 from flowlab.sources import datasets, files, pcap, sinks, tables as t
 from flowlab.streaming import flows as st
-from flowlab.streaming import scoring
+from flowlab.streaming import fanout, scoring
 from flowlab.streaming.sessions import SESSION_FEATURES, stream_sessions
 
 DELAY = 6.0
@@ -190,6 +190,33 @@ def _rejects(spark, sf):
     return bad.groupBy((F.col("packet_id") % 13).cast("int").alias("reason")).agg(F.count("*").alias("n"))
 
 
+BAD_PACKET = "(packet_id % 13 = 0 or packet_id % 13 = 5)"
+
+
+@query("stream_fan_out", with_views("packets", then=f"""
+select 'packets' as kind, count(*) as n, cast(sum(size) as bigint) as bytes, count(*) as stored, true as every_batch
+ from packets where not {BAD_PACKET}
+union all select 'rejects', count(*), 0, count(*), true from packets where {BAD_PACKET}"""))
+def _fan_out(spark, sf):
+    """Counts of the batches of a stream, and the rows in its two sinks."""
+    folder = shared_folder(spark)
+    spoilt = t.packets(spark, sf).select(*PACKET_SCHEMA.fieldNames()).withColumns({
+        "src_ip": F.when(F.col("packet_id") % 13 != 0, F.col("src_ip")),
+        "size": F.when(F.col("packet_id") % 13 == 5, -1).otherwise(F.col("size")),
+    })
+    spoilt.repartition(4).write.parquet(f"{folder}/in")
+    source = st.packet_stream(spark, f"{folder}/in", max_files=2)
+    fanout.fan_out(source, f"{folder}/out", f"{folder}/state", available_now=True).awaitTermination()
+    counts = fanout.read_sink(spark, f"{folder}/out", "counts")
+    stored = None
+    for kind in ("packets", "rejects"):
+        rows = fanout.read_sink(spark, f"{folder}/out", kind).agg(
+            F.lit(kind).alias("kind"), F.count("*").alias("stored"), (F.count_distinct("batch") == 2).alias("every_batch")
+        )
+        stored = rows if stored is None else stored.unionByName(rows)
+    return fanout.totals(counts).join(stored, "kind").select("kind", "n", "bytes", "stored", "every_batch")
+
+
 # --- captures ----------------------------------------------------------------------
 
 #: the third and fourth octets must be below 256

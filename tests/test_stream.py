@@ -91,3 +91,23 @@ def test_sessions_need_no_python_and_keep_a_gap_of_the_timeout(spark):
     assert (first.n_packets, first.fwd_packet_count, first.bwd_packet_count) == (3, 1, 2)
     assert (first.iat_mean, first.bwd_iat_mean, first.fwd_iat_mean) == (3.0, 5.0, 0.0)
     assert (second.n_packets, second.fwd_packet_count, second.total_fwd_bytes, second.iat_mean) == (1, 1, 104, 0.0)
+
+
+def test_a_batch_that_is_run_again_replaces_itself(spark, tmp_path, monkeypatch):
+    from flowlab.schema import PACKET_SCHEMA
+    from flowlab.streaming import fanout
+
+    caught = []
+    monkeypatch.setattr(fanout.scoring, "start", lambda packets, write, *rest: caught.append(write))
+    fanout.fan_out(None, str(tmp_path), "unused")
+    names = PACKET_SCHEMA.fieldNames()
+    own = {"packet_id": 1, "ts": 0.5, "src_ip": "a", "dst_ip": "b", "src_port": 1, "dst_port": 2, "protocol": 6}
+    own |= {"size": 10, "header_size": 40, "tcp_flags": 0}
+    good = tuple(own.get(c) for c in names)
+    bad = tuple((own | {"src_ip": None}).get(c) for c in names)
+    for number, rows in ((0, [good, bad]), (1, [bad]), (0, [good, bad])):
+        caught[0](spark.createDataFrame(rows, PACKET_SCHEMA), number)
+    found = {r.kind: (r.n, r.bytes) for r in fanout.totals(fanout.read_sink(spark, str(tmp_path), "counts")).collect()}
+    assert found == {"packets": (1, 10), "rejects": (2, 0)}
+    assert fanout.read_sink(spark, str(tmp_path), "rejects").count() == 2
+    assert fanout.read_sink(spark, str(tmp_path), "packets").count() == 1
