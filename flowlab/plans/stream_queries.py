@@ -21,7 +21,7 @@ from flowlab.plans.packet_queries import (
 )
 from flowlab.plans.registry import query, with_views
 from flowlab.plans.table_queries import NUMERIC, cic_labeled
-from flowlab.schema import FLOW_FEATURES, PACKET_SCHEMA, SYNTHETIC_CLASSES
+from flowlab.schema import FLOW_FEATURES, FLOW_KEY, PACKET_SCHEMA, SYNTHETIC_CLASSES
 from flowlab.sources import datasets, files, pcap, sinks, tables as t
 from flowlab.streaming import flows as st
 from flowlab.streaming import fanout, scoring
@@ -190,6 +190,27 @@ def _rejects(spark, sf):
     return bad.groupBy((F.col("packet_id") % 13).cast("int").alias("reason")).agg(F.count("*").alias("n"))
 
 
+@query("write_results", with_views("packets", KEYED, *sequenced(TIMEOUT, True), ("flows", exact_flow_sql(5)), then="""
+select case when protocol = 6 then 'tcp' else 'other' end as predicted_class, cast(2 * count(*) as bigint) as n,
+ round(max(flow_duration), 6) as longest, round(max(flow_bytes_per_sec), 6) as fastest,
+ round(max(end_ts), 6) as latest, cast(7 as bigint) as n_fields from flows group by 1"""))
+def _write_results(spark, sf):
+    """Two appends to the result sink, which keeps the seven fields of a result."""
+    flows = fl.flow_features(t.packets(spark, sf), TIMEOUT, True)
+    results = flows.select(
+        "*", F.col("end_ts").alias("timestamp"), F.concat_ws("-", *FLOW_KEY).alias("flow_key"),
+        F.when(F.col("protocol") == 6, "tcp").otherwise("other").alias("predicted_class"), F.lit(1.0).alias("confidence"),
+    )
+    folder = shared_folder(spark) + "/results"
+    for _ in range(2):
+        sinks.write_results(results, folder)
+    found = spark.read.parquet(folder)
+    return rounded(found.groupBy("predicted_class").agg(
+        F.count("*").alias("n"), F.max("flow_duration").alias("longest"), F.max("flow_bytes_per_sec").alias("fastest"),
+        F.max("timestamp").alias("latest"), F.lit(len(found.columns)).cast("long").alias("n_fields"),
+    ))
+
+
 BAD_PACKET = "(packet_id % 13 = 0 or packet_id % 13 = 5)"
 
 
