@@ -2,11 +2,12 @@
 
 Points are rows with an id and an ``array<double>`` column ``vec``.
 
-Two exact strategies are used. For a radius, points meet only in neighbouring
-grid cells, and crowded cells are split on both sides of the join. For nearest
-points, k-distances and silhouettes, which compare with *all* points of a set
-(of a bounded sample for silhouettes), blocks of rows meet blocks of rows; each block pair is a task-sized NumPy
-computation that returns a summary per point, never the pairs.
+For a radius, points meet only in neighbouring grid cells, and crowded cells are
+split on both sides of the join. Nearest points and k-distances visit cells in
+the order of their distance until a certificate settles them
+(``neighbours.py``). Silhouettes, which compare with *all* points of a set, meet
+in blocks of rows; each block pair is a task-sized NumPy computation that
+returns a summary per point, never the pairs.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowlab.operators import sampling, scale
+from flowlab.operators import neighbours, sampling, scale
 from flowlab.session import cut_lineage
 
 #: rows of a block in a block-wise comparison
@@ -255,31 +256,18 @@ def k_distance(
     id: str = "id",
     sample: int | None = None,
     seed: int = 42,
-    block_rows: int = BLOCK_ROWS,
+    block_rows: int = neighbours.CELL_ROWS,
 ) -> DataFrame:
     """Distance of each point to its ``k``-th nearest, itself counted.
 
-    All points are asked and compared, unless a ``sample`` is wanted; the work
-    grows with the square of their number.
+    All points are asked and compared, unless a ``sample`` is wanted, by
+    :func:`flowlab.operators.neighbours.nearest` with cells of ``block_rows``
+    points. NULL with fewer than ``k`` points and for vectors that are NULL or
+    not finite.
     """
     points = _limited(df.select(F.col(id).alias("id"), "vec"), sample, seed)
-    id_type = points.schema["id"].dataType.simpleString()
-
-    def nearest(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        if a.empty or b.empty:
-            return pd.DataFrame({"id": a["id"][:0], "near": []})
-        d = _pairwise(_matrix(a["vec"]), _matrix(b["vec"]))
-        m = min(k, d.shape[1])
-        best = np.sort(np.partition(d, m - 1, axis=1)[:, :m], axis=1)
-        return pd.DataFrame({"id": a["id"].to_numpy(), "near": list(best)})
-
-    parts = blockwise(points, points, nearest, f"id {id_type}, near array<double>", block_rows)
-    merged = F.array_sort(F.flatten(F.collect_list("near")))  # k values per block
-    return (
-        parts.groupBy("id")
-        .agg(merged.alias("near"))
-        .select(F.col("id").alias(id), F.try_element_at("near", F.lit(k)).alias("distance"))
-    )
+    found = neighbours.nearest(points, points, k, cell_rows=block_rows)
+    return found.select(F.col("id").alias(id), F.col("radius").alias("distance"))
 
 
 def _bucketed(df: DataFrame, value: str, target_rows: int = scale.TASK_ROWS) -> DataFrame:
@@ -327,12 +315,13 @@ def nearest_label(
     id: str = "id",
     label: str = "label",
     broadcast_rows: int = BROADCAST_ROWS,
-    block_rows: int = BLOCK_ROWS,
+    block_rows: int = neighbours.CELL_ROWS,
 ) -> DataFrame:
     """Label of the nearest fitted point, the smallest fitted id on ties.
 
     A fitted set of checked size goes to every task and ``df`` is only mapped
-    over. A larger one meets ``df`` block by block.
+    over. Of a larger one, points meet only the cells that may hold their
+    nearest (:func:`flowlab.operators.neighbours.nearest`).
     """
     points = df.select(F.col(id).alias("id"), "vec")
     known = fitted.select(F.col(id).alias("id"), "vec", F.col(label).alias("label"))
@@ -366,11 +355,8 @@ def nearest_label(
 
         best = points.mapInPandas(map_blocks, schema)
     else:
-        parts = blockwise(points, known, closest, schema, block_rows)
-        best = parts.groupBy("id").agg(
-            F.min_by("label", F.struct("distance", "near")).alias("label"),
-            F.min("distance").alias("distance"),
-        )
+        found = neighbours.nearest(points, known, 1, carry=["label"], cell_rows=block_rows)
+        best = found.select("id", F.col("near")[0]["label"].alias("label"), F.col("near")[0]["d"].alias("distance"))
     return best.select(F.col("id").alias(id), F.col("label").alias(label), "distance")
 
 

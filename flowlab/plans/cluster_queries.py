@@ -206,6 +206,24 @@ def _dbscan_wide(spark, sf):
     return K.dbscan(all_coordinates(spark, sf), 1.1, 4)
 
 
+@query("k_distance_all_dimensions", f"""select id, round(d, 9) as distance from (
+ select a.vec_id as id, {WIDE_DIST} as d, row_number() over (partition by a.vec_id order by {WIDE_DIST}, b.vec_id) as rn
+  from embeddings a, embeddings b) where rn = 10""")
+def _k_distance_wide(spark, sf):
+    """The tenth nearest over all 64 coordinates."""
+    return rounded(D.k_distance(all_coordinates(spark, sf), 10), 9)
+
+
+@query("nearest_label_all_dimensions", f"""select a.vec_id as id, min_by(b.label, {WIDE_DIST}) as label, round(min({WIDE_DIST}), 9) as distance
+ from embeddings a, embeddings b where a.vec_id % 2 = 0 and b.vec_id % 2 = 1 group by a.vec_id""")
+def _nearest_wide(spark, sf):
+    """Labels by the nearest of all 64 coordinates, through the cells."""
+    p = t.embeddings(spark, sf).select(
+        F.col("vec_id").alias("id"), "label", F.transform("embedding", lambda x: x.cast("double")).alias("vec")
+    )
+    return rounded(D.nearest_label(p.where("id % 2 = 0"), p.where("id % 2 = 1"), broadcast_rows=0), 9)
+
+
 @query("kmeans", """select vec_id as id, label, true as is_nearest, cast(8 as bigint) as n_clusters,
  count(*) over () as n_points, true as better_than_one from embeddings""")
 def _kmeans(spark, sf):
