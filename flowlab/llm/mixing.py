@@ -56,6 +56,11 @@ LEAST_SHARDS = 8
 #: sources that it would be larger, shards are larger instead
 MOST_BORDERS = 4_000_000
 SEED = 11
+#: blocks from which numpy draws no hypergeometric numbers
+NUMPY_TOTAL = 1_000_000_000
+#: draws up to this many blocks are binomial in so large a total
+FEW_BLOCKS = 10_000
+FEISTEL_ROUNDS = 6
 #: sources whose totals may be handled on the driver, one row each
 MOST_SOURCES = 100_000
 
@@ -139,13 +144,38 @@ def _plan(documents: DataFrame, block_words: int, shards: int | None, seed: int)
 
 
 def split_node(counts: np.ndarray, left: int, right: int, node: int, seed: int) -> np.ndarray:
-    """Blocks of each source that go to the left half of a node.
+    """Blocks of each source that go to the left half of a node; their sum is
+    exactly the left half's share.
 
-    numpy draws totals below 10^9; above, choose larger blocks.
+    numpy draws totals below 10^9. Above, sources are drawn one after the other
+    from the distribution's limits: binomial where few blocks are drawn or held,
+    normal elsewhere, kept within what is possible, so quotas stay exact.
     """
     total = int(counts.sum())
     take = total * left // (left + right)
-    return np.random.default_rng([seed, node]).multivariate_hypergeometric(counts, take, method="marginals")
+    random = np.random.default_rng([seed, node])
+    if total < NUMPY_TOTAL:
+        return random.multivariate_hypergeometric(counts, take, method="marginals")
+    out = np.zeros(len(counts), dtype=np.int64)
+    for i, held in enumerate(counts.tolist()):
+        out[i] = x = _drawn(random, held, total, take)
+        total, take = total - held, take - x
+    return out
+
+
+def _drawn(random: np.random.Generator, held: int, total: int, take: int) -> int:
+    """How many of ``take`` blocks out of ``total`` are among ``held`` ones."""
+    least, most = max(0, take - (total - held)), min(held, take)
+    if least == most:
+        return least
+    if most <= FEW_BLOCKS:
+        x = int(random.binomial(most, max(held, take) / total))
+    else:
+        share = held / total
+        spread = math.sqrt(take * share * (1 - share) * ((total - take) / (total - 1)))
+        # the mean in whole numbers: a double has 53 bits
+        x = take * held // total + round(random.normal() * spread)
+    return min(max(x, least), most)
 
 
 def quotas_of(shard: int, counts: np.ndarray, shards: int, seed: int) -> np.ndarray:
@@ -202,20 +232,48 @@ def _positions(documents: DataFrame) -> DataFrame:
     )
 
 
-def _permuted(block, blocks, seed: int):
-    """Place of a block in the draw: a fixed bijection of 0 .. blocks - 1.
+def permuted(block: np.ndarray, size: np.ndarray, seed: int) -> np.ndarray:
+    """A keyed bijection of 0 .. size - 1, for each row with its own size;
+    every block must be below its size.
 
-    Affine with a multiplier that is coprime to the number of blocks (the
-    first of a few primes that does not divide it; a number below their product
-    has one). The last, shorter block keeps the last place.
+    A Feistel network over the smallest even number of bits that holds the
+    numbers; a value outside walks on along its cycle, at most a few steps on
+    average, since the network's domain is below four times the size.
     """
+    value = block.astype(np.uint64)
+    size = size.astype(np.uint64)
+    half = (np.array([max(1, (int(n) - 1).bit_length() + 1 >> 1) for n in size], dtype=np.uint64) if len(size) else size)
+    mask = (np.uint64(1) << half) - np.uint64(1)
+    todo = np.flatnonzero(size > 1)
+    while len(todo):
+        h, m, v = half[todo], mask[todo], value[todo]
+        high, low = v >> h, v & m
+        for turn in range(FEISTEL_ROUNDS):
+            high, low = low, high ^ (_mixed(low, np.uint64(seed * FEISTEL_ROUNDS + turn)) & m)
+        value[todo] = (high << h) | low
+        todo = todo[value[todo] >= size[todo]]
+    return value.astype(np.int64)
+
+
+def _mixed(x: np.ndarray, key: np.uint64) -> np.ndarray:
+    """A 64-bit hash: multiplications and shifts, modulo 2^64."""
+    x = (x + key + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def _permuted(block, blocks, seed: int):
+    """Place of a block in the draw. The last, shorter block keeps the last place."""
+
+    @F.pandas_udf("long")
+    def place(at: pd.Series, whole: pd.Series) -> pd.Series:
+        return pd.Series(permuted(at.to_numpy(), whole.to_numpy(), seed))
+
     whole = blocks - 1
-    primes = [1_000_003, 998_244_353, 1_000_000_007]
-    factor = F.lit(1).cast("long")
-    for p in reversed(primes):
-        factor = F.when(whole % F.lit(p) != 0, F.lit(p).cast("long")).otherwise(factor)
-    moved = F.pmod((block + F.lit(seed)) % whole * (factor % whole), whole)
-    return F.when(block == whole, whole).when(whole <= 0, block).otherwise(moved)
+    # evaluated for every row, so the last block must be within bounds as well
+    size = F.greatest(whole, F.lit(1).cast("long"))
+    return F.when(block >= whole, block).otherwise(place(F.least(block, size - F.lit(1)), size))
 
 
 def mix(

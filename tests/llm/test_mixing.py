@@ -1,3 +1,4 @@
+import math
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -131,3 +132,35 @@ def test_shards_grow_with_the_blocks():
     assert mixing.shards_for(100, 3) == mixing.LEAST_SHARDS
     assert mixing.shards_for(14_000_000, 3) == -(-14_000_000 // mixing.SHARD_BLOCKS)
     assert mixing.spans_of(" \ta\n b  c ", [0, 1, 0], [1, 3, 3]) == [" \ta\n ", "b  c ", " \ta\n b  c "]
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 7, 64, 1_000, 166_667, 333_334])
+def test_permutation_is_a_bijection_without_runs(size):
+    rank = mixing.permuted(np.arange(size), np.full(size, size), mixing.SEED)
+    assert np.array_equal(np.sort(rank), np.arange(size))
+    if size >= 1_000:
+        assert (np.abs(np.diff(rank)) == 1).mean() < 0.01
+        assert abs(np.corrcoef(rank, np.arange(size))[0, 1]) < 0.1
+
+
+def test_permutation_of_huge_and_mixed_sizes():
+    size = np.array([9 * 10**12, 5, 5, 5, 5, 5, 9 * 10**12])
+    rank = mixing.permuted(np.array([3, 0, 1, 2, 3, 4, 4]), size, mixing.SEED)
+    assert sorted(rank[1:6]) == [0, 1, 2, 3, 4] and 0 <= rank[0] != rank[6] < 9 * 10**12
+    assert len(mixing.permuted(np.array([], np.int64), np.array([], np.int64), 1)) == 0
+
+
+@pytest.mark.parametrize("drawn", [[2 * 10**9, 3 * 10**9], [10**13, 7, 0, 4 * 10**12, 1]])
+def test_totals_beyond_numpy_are_split_exactly(drawn):
+    counts, shards = np.array(drawn, dtype=np.int64), 24
+    quotas = np.array([mixing.quotas_of(s, counts, shards, mixing.SEED) for s in range(shards)])
+    assert (quotas >= 0).all() and quotas.sum(axis=0).tolist() == drawn
+    assert np.ptp(quotas.sum(axis=1)) <= 2 * shards  # shards of one size, up to rounding
+    share = quotas[:, 0] / quotas.sum(axis=1)
+    assert np.allclose(share, drawn[0] / sum(drawn), atol=1e-3)
+
+
+def test_large_draws_have_the_right_spread():
+    random = np.random.default_rng(0)
+    x = np.array([mixing._drawn(random, 4 * 10**9, 10**10, 10**9) for _ in range(4_000)])
+    assert abs(x.mean() - 4e8) < 2_000 and abs(x.std() / math.sqrt(1e9 * 0.4 * 0.6 * 0.9) - 1) < 0.05
