@@ -51,7 +51,7 @@ def test_neighbours_are_those_of_all_points(spark, dims):
 def test_copies_count_and_ties_go_to_the_smallest_id(spark):
     fitted = frame(spark, [[0, 0], [0, 0], [0, 0], [3, 4], [-3, 4], [10, 0]], list("cbafed"))
     r = N.nearest(frame(spark, [[0, 0]], ["q"]), fitted, 4).first()
-    assert [(n.d, n.id, n.n) for n in r.near] == [(0, "a", 3), (5, "e", 1), (5, "f", 1), (10, "d", 1)]
+    assert [(n.d, n.id, n.n) for n in r.near] == [(0, "a", 3), (5, "e", 1), (5, "f", 1)]
     assert r.radius == 5.0
 
 
