@@ -32,6 +32,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def quoted(name: str) -> str:
+    """A column name as schema texts and ``F.col`` take it, blanks and dots included."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def fresh(name: str, *taken: DataFrame) -> str:
+    """``name``, or a longer one where a table has such a column already."""
+    used = {c.lower() for df in taken for c in df.columns}
+    while name.lower() in used:
+        name = f"_{name}"
+    return name
+
+
 def split_remainder(doc_id: str | Column, parts: int = 5) -> Column:
     """``crc32(doc_id as text) mod parts``; a null id counts as the empty text."""
     text = F.coalesce(F.col(doc_id).cast("string") if isinstance(doc_id, str) else doc_id, F.lit(""))

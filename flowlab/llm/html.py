@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import defaultdict
 from html.parser import HTMLParser
 
 import numpy as np
@@ -32,6 +33,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from flowlab.llm.common import quoted
+
 #: self-labelled pages the potentials are fitted on
 TRAIN_PAGES = 400
 #: passes over the training pages
@@ -99,7 +102,21 @@ class Tree(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.root = Node("root", None)
-        self.here = self.root
+        self.path = [self.root]  # from the root to the innermost open element
+        self.open: dict[str, list[int]] = defaultdict(list)  # places in the path, by tag
+
+    @property
+    def here(self) -> Node:
+        return self.path[-1]
+
+    def _innermost(self, tags) -> int:
+        """Place of the innermost open element with one of the tags, 0 if none
+        is open. Independent of the depth, so broken pages take linear time."""
+        return max((self.open[t][-1] for t in tags if self.open.get(t)), default=0)
+
+    def _close_from(self, place: int) -> None:
+        while len(self.path) > place:
+            self.open[self.path.pop().tag].pop()
 
     def handle_starttag(self, tag, attrs):
         if tag in BLOCK:
@@ -109,7 +126,8 @@ class Tree(HTMLParser):
         node = Node(tag, self.here, attrs)
         self.here.children.append(node)
         if tag not in VOID:
-            self.here = node
+            self.open[tag].append(len(self.path))
+            self.path.append(node)
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -117,22 +135,15 @@ class Tree(HTMLParser):
             self.handle_endtag(tag)
 
     def _close_up_to(self, tags, stop):
-        node = self.here
-        while node is not self.root and node.tag not in stop:
-            if node.tag in tags:
-                self.here = node.parent
-                return
-            node = node.parent
+        place = self._innermost(tags)
+        if place > self._innermost(stop):
+            self._close_from(place)
 
     def handle_endtag(self, tag):
-        node = self.here
-        while node is not self.root:
-            if node.tag == tag:
-                self.here = node.parent
-                return
-            if node.tag in BARRIER and tag not in BARRIER:
-                return  # an end tag without a start inside this region
-            node = node.parent
+        place = self._innermost((tag,))
+        # a start outside the region that the end tag lies in is not its own
+        if place and (tag in BARRIER or place > self._innermost(BARRIER)):
+            self._close_from(place)
 
     def handle_data(self, data):
         self.here.children.append(data)
@@ -424,7 +435,7 @@ def extract(pages: DataFrame, model: Model, key: str = "page_id", url: str = "ur
             )
 
     kind = lambda c: source.schema[c].dataType.simpleString()
-    return source.mapInArrow(run, f"{key} {kind(key)}, {url} {kind(url)}, text string, n_chars long")
+    return source.mapInArrow(run, f"{quoted(key)} {kind(key)}, {quoted(url)} {kind(url)}, text string, n_chars long")
 
 
 def main_text(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:

@@ -98,3 +98,47 @@ def test_rows_and_empty_table(spark):
     assert html.main_text(pages).columns == ["page_id", "url", "text", "n_chars"]
     assert sorted((r.page_id or 0, r.text) for r in html.main_text(pages).collect()) == [(0, "x"), (1, ""), (1, "x")]
     assert html.main_text(pages.limit(0)).count() == 0
+
+
+def test_key_name_with_a_blank(spark):
+    pages = spark.createDataFrame([(1, "u", "<article><p>x</p></article>")], "`page id` long, `the url` string, html string")
+    assert [tuple(r) for r in html.main_text(pages, "page id", "the url").collect()] == [(1, "u", "x", 1)]
+
+
+class Walking(html.Tree):
+    """The same rules by walking from the innermost open element outwards."""
+
+    def _close_up_to(self, tags, stop):
+        for place in range(len(self.path) - 1, 0, -1):
+            if self.path[place].tag in stop:
+                return
+            if self.path[place].tag in tags:
+                return self._close_from(place)
+
+    def handle_endtag(self, tag):
+        for place in range(len(self.path) - 1, 0, -1):
+            if self.path[place].tag == tag:
+                return self._close_from(place)
+            if self.path[place].tag in html.BARRIER and tag not in html.BARRIER:
+                return
+
+
+def shape(node):
+    return node if isinstance(node, str) else (node.tag, [shape(c) for c in node.children])
+
+
+def test_tag_soup_is_closed_by_the_same_rules():
+    rng = np.random.default_rng(5)
+    tags = ["p", "div", "b", "td", "tr", "table", "li", "ul", "section", "span", "br"]
+    for _ in range(300):
+        page = "".join(f"<{'/' if rng.random() < 0.45 else ''}{rng.choice(tags)}>t" for _ in range(60))
+        walking = Walking()
+        walking.feed(page)
+        walking.close()
+        assert shape(html.parse(page)) == shape(walking.root)
+
+
+def test_end_tags_without_start_take_linear_time():
+    # walking outwards at each end tag would be 60,000 times 60,000 steps
+    page = "<i>" + "<div><b>" * 30_000 + "</i>" * 60_000 + "</u>" * 60_000 + "text"
+    assert html.parse(page).tag == "root"
