@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowlab.llm.common import byte_column, split_remainder
+from flowlab.llm.common import byte_column, fresh, quoted, split_remainder
 
 #: labelled rows the classifier is fitted on
 TRAIN_ROWS = 4_000
@@ -271,7 +271,8 @@ class Model:
 def training_rows(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", rows: int = TRAIN_ROWS) -> DataFrame:
     """Labelled texts outside the held-out fold: ``text`` and ``quality``.
 
-    The ids are chosen before texts are read: those with the least hash.
+    The ids are chosen before texts are read: those with the least hash. Ids may
+    be of any type; if the tables differ in it, they are compared as texts.
     """
     chosen = (
         labels.where(F.col("quality").isin(0, 1) & (split_remainder("doc_id") != 0))
@@ -281,6 +282,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, text: str = "text", key: s
         .limit(rows)
     )
     own = docs.select(F.col(key).alias("_id"), F.col(text).alias("text"))
+    if own.schema["_id"].dataType != chosen.schema["_id"].dataType:
+        own, chosen = (df.withColumn("_id", F.col("_id").cast("string")) for df in (own, chosen))
     return own.join(F.broadcast(chosen), "_id").where(split_remainder("_id") != 0).select("_id", "text", "quality")
 
 
@@ -291,15 +294,16 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_
     ``TRAIN_PASSAGES`` short vectors.
     """
     sample = training_rows(docs, labels, text, key, rows)
+    kind = sample.schema["_id"].dataType.simpleString()
 
     def encode(batches) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, quality = batch.column(0).to_pylist(), batch.column(2).to_pylist()
-            for i, t, q in zip(ids, byte_column(batch.column(1)), quality):
+            ids = (batch.column(0).slice(i, 1) for i in range(batch.num_rows))
+            for i, t, q in zip(ids, byte_column(batch.column(1)), batch.column(2).to_pylist()):
                 x, numbers = passage_features([t], TRAIN_PASSAGES)
                 yield pa.RecordBatch.from_pydict(
                     {
-                        "id": pa.array([i], pa.int64()),
+                        "id": i,
                         "check": pa.array([zlib.crc32(t or b"")], pa.int64()),
                         "quality": pa.array([q], pa.int32()),
                         "x": pa.array([x.astype(np.float32).tobytes()], pa.binary()),
@@ -307,8 +311,7 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_
                 )
 
     bags = (
-        sample.withColumn("_id", F.col("_id").cast("long"))
-        .mapInArrow(encode, "id long, check long, quality int, x binary")
+        sample.mapInArrow(encode, f"id {kind}, check long, quality int, x binary")
         .groupBy("id")
         .agg(F.min(F.struct("check", "quality", "x")).alias("bag"))
         .select("bag.quality", "bag.x", "id")
@@ -326,7 +329,7 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_
 def score(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None, out: str = "score") -> DataFrame:
     """``keep`` columns and the score of every row, in one pass."""
     keep = ["doc_id"] if keep is None else keep
-    source = docs.select(*keep, F.col(text).alias("__text"))
+    source = docs.select(*map(quoted, keep), F.col(quoted(text)).alias(fresh("__text", docs)))
 
     def run(batches):
         for batch in batches:
@@ -336,8 +339,8 @@ def score(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | N
                 columns = [*part.columns[:-1], pa.array(scores, pa.float64())]
                 yield pa.RecordBatch.from_arrays(columns, names=[*keep, out])
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.select(*keep).schema.fields)
-    return source.mapInArrow(run, f"{fields}, `{out}` double")
+    fields = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in source.schema.fields[:-1])
+    return source.mapInArrow(run, f"{fields}, {quoted(out)} double")
 
 
 def classify(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -354,4 +357,5 @@ def classify(docs: DataFrame, labels: DataFrame, text: str = "text", key: str =
 def accepted(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """The rows of ``docs`` that the classifier does not reject."""
     model = fit(docs, labels, text, key)
-    return score(docs, model, text, docs.columns, "__score").where(F.col("__score") >= THRESHOLD).drop("__score")
+    name = fresh("__score", docs)
+    return score(docs, model, text, docs.columns, name).where(F.col(name) >= THRESHOLD).drop(name)

@@ -76,3 +76,16 @@ def test_odd_rows(spark):
     assert len(got) == 5 and all(0 <= r.score <= 1 for r in got)
     assert mil.accepted(docs, none).columns == docs.columns
     assert mil.classify(docs.limit(0), labels).count() == 0
+
+
+def test_text_ids_and_clashing_names(spark):
+    good, bad = "The river rose slowly and people spoke of it. " * 5, "buy now $$$ click click click win win " * 5
+    docs = spark.createDataFrame([(f"d-{i}", good if i % 2 else bad, i, "x") for i in range(60)], "doc_id string, text string, __score int, __text string")
+    labels = spark.createDataFrame([(f"d-{i}", i % 2) for i in range(60)], "doc_id string, quality int")
+    got = mil.classify(docs, labels).collect()
+    assert len(got) == 60 and all(r.predicted == int(r.doc_id[2:]) % 2 for r in got)
+    kept = mil.accepted(docs, labels)
+    assert kept.columns == docs.columns
+    assert sorted(r["__score"] for r in kept.collect()) == list(range(1, 60, 2))
+    numbers = docs.withColumn("doc_id", F.col("__score").cast("long"))
+    assert mil.classify(numbers, labels.withColumn("doc_id", F.substring("doc_id", 3, 9))).count() == 60
