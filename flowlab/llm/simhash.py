@@ -25,10 +25,10 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowlab.llm.common import byte_column, stored, words_of
+from flowlab.llm.common import byte_column, fresh, quoted, stored, words_of
 from flowlab.operators.clustering import connected_components
 from flowlab.operators.scale import checked_broadcast
 
@@ -83,7 +83,7 @@ def fingerprints(docs: DataFrame, text: str = "text", key: str = "doc_id", shing
                 [batch.column(0).cast(schema.field(0).type), pa.array(values.view(np.int64)), batch.column(2)], schema=schema
             )
 
-    return source.mapInArrow(run, f"{key} {source.schema[key].dataType.simpleString()}, fp long, _text long")
+    return source.mapInArrow(run, f"{quoted(key)} {source.schema[key].dataType.simpleString()}, fp long, _text long")
 
 
 def block_masks(blocks: int = BLOCKS, distance: int = DISTANCE) -> list[int]:
@@ -223,15 +223,16 @@ def near_duplicates(
     The component is the smallest ``key`` that a document reaches by links.
     """
     return _classes(docs, text, key, distance, blocks, cell).select(
-        key, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+        F.col("id").alias(key), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
 
 def _classes(docs: DataFrame, text: str, key: str, distance: int = DISTANCE, blocks: int = BLOCKS, cell: int = CELL) -> DataFrame:
-    """Each row with its component: ``root``, one of its fingerprints, and
-    ``component_id``."""
-    printed = stored(fingerprints(docs, text, key), "fingerprints")
-    points = stored(printed.groupBy("fp").agg(F.min(key).alias("_least")), "points")
+    """Each row's ``id`` with its component: ``root``, one of its fingerprints,
+    and ``component_id``."""
+    own = docs.select(F.col(quoted(key)).alias("id"), F.col(quoted(text)).alias("text"))
+    printed = stored(fingerprints(own, "text", "id"), "fingerprints")
+    points = stored(printed.groupBy("fp").agg(F.min("id").alias("_least")), "points")
     found = stored(links(points, distance, blocks, cell), "links")
     linked = found.select(F.col("u").alias("node")).union(found.select("v")).distinct()
     roots = stored(connected_components(linked, found), "roots")
@@ -244,9 +245,9 @@ def _classes(docs: DataFrame, text: str, key: str, distance: int = DISTANCE, blo
     salts = 16
     spread = classes.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return (
-        printed.withColumn("_salt", F.pmod(F.xxhash64(key), F.lit(salts)).cast("int"))
+        printed.withColumn("_salt", F.pmod(F.xxhash64("id"), F.lit(salts)).cast("int"))
         .join(spread, ["fp", "_salt"])
-        .select(key, "fp", "_text", "root", "component_id")
+        .select("id", "fp", "_text", "root", "component_id")
     )
 
 
@@ -256,21 +257,31 @@ def one_of_each(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Dat
     It is the row of the smallest id, null ids last; of rows that share it the
     one with the least hash of its text, whatever copies of it there are.
     """
+    id_, text_, rows_ = (fresh(f"__kept_{n}", docs) for n in ("id", "text", "rows"))
     classes = stored(_classes(docs, text, key), "classes")
     kept = (
-        classes.groupBy("root", key, "_text")
-        .agg(F.count(F.lit(1)).alias("__kept_rows"))
+        classes.groupBy("root", "id", "_text")
+        .agg(F.count(F.lit(1)).alias("n"))
         .groupBy("root")
-        .agg(F.min(F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("id"), "_text", "__kept_rows")).alias("k"))
-        .select(F.col("k.id").alias("__kept_id"), F.col("k._text").alias("__kept_text"), F.col("k.__kept_rows").alias("__kept_rows"))
+        .agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "_text", "n")).alias("k"))
+        .select(F.col("k.id").alias(id_), F.col("k._text").alias(text_), F.col("k.n").alias(rows_))
     )
-    same = docs[key].eqNullSafe(kept["__kept_id"]) & (F.xxhash64(docs[text]) == kept["__kept_text"])
+    columns = [F.col(quoted(c)) for c in docs.columns]
+    same = F.col(quoted(key)).eqNullSafe(F.col(id_)) & (F.xxhash64(F.col(quoted(text))) == F.col(text_))
     chosen = docs.join(kept, same)
-    single = chosen.where(F.col("__kept_rows") == 1).select(*docs.columns)
+    single = chosen.where(F.col(rows_) == 1).select(*columns)
     several = (
-        chosen.where(F.col("__kept_rows") > 1)
-        .groupBy("__kept_id", "__kept_text")
-        .agg(F.min_by(F.struct(*docs.columns), F.xxhash64(*docs.columns)).alias("__row"))
-        .select("__row.*")
+        chosen.where(F.col(rows_) > 1)
+        .groupBy(id_, text_)
+        .agg(F.min_by(F.struct(*columns), _row_hash(docs)).alias("row"))
+        .select("row.*")
     )
     return single.unionByName(several)
+
+
+def _row_hash(docs: DataFrame) -> Column:
+    """A hash of whole rows; columns that hold maps are hashed as JSON."""
+    return F.xxhash64(*[
+        F.to_json(F.struct(F.col(quoted(f.name)).alias("v"))) if "map<" in f.dataType.simpleString() else F.col(quoted(f.name))
+        for f in docs.schema.fields
+    ])

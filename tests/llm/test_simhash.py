@@ -107,3 +107,15 @@ def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert simhash.near_duplicates(docs).count() == 0
     assert simhash.one_of_each(docs).count() == 0
+
+
+def test_clashing_names_and_map_columns(spark):
+    rows = [(1, "a b c d e", {"x": 1}, "p"), (1, "a b c d e", {"y": 2}, "q"), (2, "a b c d e", None, "r"), (3, "other words here now", None, None)]
+    docs = spark.createDataFrame(rows, "`the id` long, _text string, fp map<string,int>, __kept_id string")
+    got = simhash.one_of_each(docs, "_text", "the id")
+    assert got.columns == docs.columns
+    assert sorted((r["the id"], r["__kept_id"] in ("p", "q", None)) for r in got.collect()) == [(1, True), (3, True)]
+    own = docs.drop("fp").withColumnRenamed("the id", "fp")
+    found = simhash.near_duplicates(own, "_text", "fp")
+    assert found.columns == ["fp", "fingerprint", "component_id"]
+    assert sorted((r.fp, r.component_id) for r in found.collect()) == [(1, 1), (1, 1), (2, 1), (3, 3)]
