@@ -26,7 +26,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from flowlab.llm.common import batches_of
+from flowlab.llm.common import batches_of, quoted
 
 #: chunks kept by a worker between batches
 CACHE_CHUNKS = 200_000
@@ -268,7 +268,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", key: str = "doc_id")
                 ids = [np.frombuffer(x, "<u4").astype(np.int32) for x in model.encode_batch(texts)]
                 yield from batches_of(zip(keys, ids), schema, 2_000)
 
-    return source.mapInArrow(run, f"{key} {source.schema[key].dataType.simpleString()}, ids array<int>")
+    return source.mapInArrow(run, f"{quoted(key)} {source.schema[key].dataType.simpleString()}, ids array<int>")
 
 
 def decode(encoded: DataFrame, path: str, ids: str = "ids", key: str = "doc_id") -> DataFrame:
@@ -283,7 +283,7 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids", key: str = "doc_id")
             rows = ((k, model.decode(np.array(v.as_py() or [], np.int64)).decode()) for k, v in zip(keys, batch.column(1)))
             yield from batches_of(rows, schema, 2_000)
 
-    return source.mapInArrow(run, f"{key} {source.schema[key].dataType.simpleString()}, text string")
+    return source.mapInArrow(run, f"{quoted(key)} {source.schema[key].dataType.simpleString()}, text string")
 
 
 def digests(docs: DataFrame, path: str, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -308,7 +308,7 @@ def digests(docs: DataFrame, path: str, text: str = "text", key: str = "doc_id")
                 yield from batches_of(rows, schema)
 
     kind = source.schema[key].dataType.simpleString()
-    return source.mapInArrow(run, f"{key} {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return source.mapInArrow(run, f"{quoted(key)} {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def _arrow_type(df: DataFrame, column: str) -> pa.DataType:

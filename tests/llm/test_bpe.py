@@ -76,3 +76,11 @@ def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert bpe.digests(docs, PATH).count() == 0
     assert bpe.encode(docs, PATH).where(F.size("ids") > 0).count() == 0
+
+
+def test_key_name_with_a_blank(spark):
+    docs = spark.createDataFrame([(1, "one two"), (None, None)], "`the id` long, text string")
+    got = {r["the id"]: r.n_tokens for r in bpe.digests(docs, PATH, key="the id").collect()}
+    assert got[1] > 0 and got[None] == 0
+    back = bpe.decode(bpe.encode(docs, PATH, key="the id"), PATH, key="the id")
+    assert back.count() == 2
