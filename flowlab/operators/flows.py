@@ -408,6 +408,23 @@ def _estimated_features() -> dict[str, Column]:
     return features
 
 
+def as_estimated(flows: DataFrame) -> DataFrame:
+    """Measured flows under the estimated profile, stream or batch.
+
+    All that profile needs are counts, bytes and gaps per direction, so the
+    other measurements are replaced. Columns and their order stay. Flows must
+    have been measured with the direction by key order.
+    """
+    given = {
+        "_nf": "fwd_packet_count", "_nb": "bwd_packet_count", "_bf": "total_fwd_bytes", "_bb": "total_bwd_bytes",
+        "_iat_mean": "iat_mean", "_iat_std": "iat_std",
+        "_fiat_mean": "fwd_iat_mean", "_biat_mean": "bwd_iat_mean", "_biat_std": "bwd_iat_std",
+    }
+    measured = flows.withColumns({m: F.col(c) for m, c in given.items()})
+    estimated = _estimated_features()
+    return measured.select(*[estimated[c].alias(c) if c in estimated else c for c in flows.columns])
+
+
 def estimated_header_ratio(n_packets: Column, total_bytes: Column) -> Column:
     """40 header bytes per packet, as a share of all bytes, within [0, 1]."""
     share = n_packets * 40 / F.greatest(total_bytes.cast("double"), F.lit(1.0))

@@ -114,6 +114,28 @@ def _single_flow(spark, sf):
     return scored.select("row_id", "predicted_class", "confidence")
 
 
+@query("reload_window_models", labeled_sql("""select kind, count(*) as n, 0 as moved from cic_labeled
+ cross join (select unnest(['forest', 'perceptron']) as kind) group by kind"""))
+def _reload_windows(spark, sf):
+    """Window models of both kinds score all rows as before they were saved."""
+    pre, df = prepared(spark, sf)
+    train = W.sorted_windows(df.where("split = 'train'"), NUMERIC, "label_idx")
+    everything = R.transform(cic_labeled(spark, sf), pre)
+    table = None
+    for kind, how in (("forest", dict(method="forest", n_trees=10, max_depth=6)), ("perceptron", dict(layers=(32,), max_iters=(20,)))):
+        model = S.window_classifier(train, **how)
+        folder = f"{shared_folder(spark)}/state"
+        sinks.save_state(spark, sinks.State(pre, model, pre.kept_classes), folder)
+        state = sinks.load_state(spark, folder)
+        before = S.score_single_flow(everything, model, pre.kept_classes).select("row_id", "predicted_class", "confidence")
+        again = S.score_single_flow(R.transform(cic_labeled(spark, sf), state.preprocessor), state.model, state.classes)
+        both = before.join(again.select("row_id", F.col("predicted_class").alias("_class"), F.col("confidence").alias("_confidence")), "row_id")
+        same = F.col("predicted_class").eqNullSafe(F.col("_class")) & (F.abs(F.col("confidence") - F.col("_confidence")) < 1e-12)
+        rows = both.agg(F.lit(kind).alias("kind"), F.count("*").alias("n"), F.count_if(~same).cast("int").alias("moved"))
+        table = rows if table is None else table.unionByName(rows)
+    return table
+
+
 # --- models ---------------------------------------------------------------------------
 
 @query("random_forest")

@@ -7,11 +7,11 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import RandomForestClassificationModel
+from pyspark.ml.classification import MultilayerPerceptronClassificationModel, RandomForestClassificationModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlab.operators.classifying import SvmModel
+from flowlab.operators.classifying import SvmModel, WindowModel
 from flowlab.operators.lloyd import KMeansFit
 from flowlab.operators.preparing import Preprocessor, load_preprocessor, save_preprocessor
 
@@ -76,12 +76,15 @@ class State:
 
 
 #: models with files of their own, and models kept as one JSON text
-_SAVED = {"forest": RandomForestClassificationModel, "pipeline": PipelineModel}
+_SAVED = {
+    "forest": RandomForestClassificationModel, "pipeline": PipelineModel,
+    "perceptron": MultilayerPerceptronClassificationModel,
+}
 _TEXTS = {"svm": SvmModel, "kmeans": KMeansFit}
 
 
 def _kind(model) -> str:
-    for kind, cls in (_SAVED | _TEXTS).items():
+    for kind, cls in (_SAVED | _TEXTS | {"windows": WindowModel}).items():
         if isinstance(model, cls):
             return kind
     raise ValueError(f"cannot save {type(model).__name__}")
@@ -89,13 +92,24 @@ def _kind(model) -> str:
 
 def write_model(spark: SparkSession, model, path: str) -> None:
     """A fitted model in the form of its kind."""
-    if _kind(model) in _TEXTS:
-        _write(spark.createDataFrame([(model.to_json(),)], "value string").coalesce(1), path, "text", "overwrite")
+    if isinstance(model, WindowModel):
+        write_model(spark, model.model, f"{path}/model")
+        form = {"inner": _kind(model.model), "size": model.size, "kind": model.kind}
+        _write_text(spark, json.dumps(form), f"{path}/form")
+    elif _kind(model) in _TEXTS:
+        _write_text(spark, model.to_json(), path)
     else:
         model.write().overwrite().save(path)
 
 
+def _write_text(spark: SparkSession, text: str, path: str) -> None:
+    _write(spark.createDataFrame([(text,)], "value string").coalesce(1), path, "text", "overwrite")
+
+
 def read_model(spark: SparkSession, kind: str, path: str):
+    if kind == "windows":
+        form = json.loads(spark.read.text(f"{path}/form").first()[0])
+        return WindowModel(read_model(spark, form["inner"], f"{path}/model"), form["size"], form["kind"])
     if kind in _TEXTS:
         return _TEXTS[kind].from_json(spark.read.text(path).first()[0])
     return _SAVED[kind].load(path)
@@ -105,8 +119,7 @@ def save_state(spark: SparkSession, state: State, path: str) -> None:
     kind = _kind(state.model)
     save_preprocessor(spark, state.preprocessor, f"{path}/preprocessor")
     write_model(spark, state.model, f"{path}/model")
-    meta = json.dumps({"kind": kind, "classes": state.classes})
-    _write(spark.createDataFrame([(meta,)], "value string").coalesce(1), f"{path}/meta", "text", "overwrite")
+    _write_text(spark, json.dumps({"kind": kind, "classes": state.classes}), f"{path}/meta")
 
 
 def load_state(spark: SparkSession, path: str) -> State:

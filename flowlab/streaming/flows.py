@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from flowlab.functions import scalars as S
-from flowlab.operators.flows import IDLE_GAP, MIN_DURATION, with_flow_key
+from flowlab.operators.flows import IDLE_GAP, MIN_DURATION, as_estimated, with_flow_key
 from flowlab.schema import FLOW_FEATURES, FLOW_KEY, PACKET_SCHEMA
 
 _COUNTS = {"fwd_packet_count", "bwd_packet_count", "total_fwd_bytes", "total_bwd_bytes"}
@@ -62,15 +62,29 @@ def stream_flows(
     split_on_fin: bool = True,
     min_packets: int = 5,
     delay: str | None = None,
+    profile: str = "exact",
+    at_once: bool = False,
 ) -> DataFrame:
-    """Closed flows: on FIN/RST at once, otherwise after ``timeout`` of silence.
+    """Closed flows: on FIN/RST, otherwise after ``timeout`` of silence.
 
     Packets wait until the watermark has passed them and are then taken in
     order, so disorder within ``delay`` (at least the timeout by default) does
     not change the result; later packets are dropped. The state of a key is
     those waiting packets plus a fixed-size summary of the open flow, however
     many packets it has seen. Shorter flows are dropped when they close.
+
+    ``at_once=True`` takes packets in the batch they arrive in, for sources in
+    time order: FIN/RST or a packet after the timeout closes a flow in that
+    batch, and no packets are kept. Packets of one batch may come in any order;
+    one that is older than its flow's latest of an earlier batch counts as
+    seen at the time of that one.
+
+    ``profile="estimated"``: features and direction as the batch operator has
+    them under that profile.
     """
+    if profile not in ("exact", "estimated"):
+        raise ValueError(f"unknown profile: {profile}")
+    by_key = profile == "estimated"
     delay = delay or f"{int(np.ceil(timeout))} seconds"
     usable, _ = split_rejects(packets)
     closes = S.closes_flow() if split_on_fin else F.lit(False)
@@ -88,11 +102,16 @@ def stream_flows(
             pending = {c: np.concatenate([pending[c], fresh[c]]) for c in _PENDING}
         order = np.lexsort((pending["packet_id"], pending["ts"]))
         pending = {c: v[order] for c, v in pending.items()}
-        ready = int(np.searchsorted(pending["ts"] * 1000.0, mark_ms, side="right")) if mark_ms > 0 else 0
+        if at_once:
+            ready = len(pending["ts"])
+        else:
+            ready = int(np.searchsorted(pending["ts"] * 1000.0, mark_ms, side="right")) if mark_ms > 0 else 0
         due = {c: v[:ready] for c, v in pending.items()}
         pending = {c: v[ready:] for c, v in pending.items()}
+        if flow is not None:  # changes nothing in packets that have waited
+            due["ts"] = np.maximum(due["ts"], flow["last"])
         closed = []
-        flow = _advance(flow, due, timeout, closed)
+        flow = _advance(flow, due, timeout, closed, by_key)
         if flow is not None and mark_ms / 1000.0 > flow["last"] + timeout:
             closed.append((flow, "timeout"))
             flow = None
@@ -104,9 +123,10 @@ def stream_flows(
                 out[name] = value
             yield out[[c.split()[0] for c in FLOW_SCHEMA.split(", ")]]
 
-    return keyed.groupBy(*FLOW_KEY).applyInPandasWithState(
+    flows = keyed.groupBy(*FLOW_KEY).applyInPandasWithState(
         update, FLOW_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout
     )
+    return as_estimated(flows) if by_key else flows
 
 
 # --- state -----------------------------------------------------------------------------
@@ -180,7 +200,7 @@ def _size(flow) -> int:
     return int(flow["size_f"][0] + flow["size_b"][0])
 
 
-def _advance(flow, due, timeout, closed):
+def _advance(flow, due, timeout, closed, by_key=False):
     """Feed packets in order; finished flows are appended to ``closed``."""
     ts, closes = due["ts"], due["closes"]
     if not len(ts):
@@ -195,7 +215,7 @@ def _advance(flow, due, timeout, closed):
         flow = None
     for start, stop in zip(edges[:-1], edges[1:]):
         part = {c: v[start:stop] for c, v in due.items()}
-        flow = _extend(flow, part)
+        flow = _extend(flow, part, by_key)
         if part["closes"][-1]:
             closed.append((flow, "fin"))
             flow = None
@@ -211,13 +231,14 @@ def _gaps(ts: np.ndarray, before: float) -> np.ndarray:
     return np.diff(np.concatenate([[before], ts]))
 
 
-def _extend(flow, part):
-    """Add consecutive packets of one flow to its summary."""
+def _extend(flow, part, by_key=False):
+    """Add consecutive packets of one flow to its summary. Forward is the way
+    of its first packet or, ``by_key``, from the lower end of the key."""
     ts, is_a = part["ts"], part["is_a"]
     if flow is None:
         flow = {m: _NONE for m in _MEASURES} | {
             "header": 0.0, "start": ts[0], "last": np.nan, "last_f": np.nan, "last_b": np.nan,
-            "first_is_a": float(is_a[0]),
+            "first_is_a": 1.0 if by_key else float(is_a[0]),
         }
     fwd = is_a == bool(flow["first_is_a"])
     gaps = _gaps(ts, flow["last"])

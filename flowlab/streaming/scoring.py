@@ -25,7 +25,8 @@ def score_stream(
     """Result rows of closed flows; also works on a batch of flows.
 
     The features are transformed by the expressions of the training job. The
-    time of a result is the end of its flow, so a replay gives equal rows.
+    time of a result is the end of its flow, so a replay gives equal rows. A
+    model of windows gets each flow repeated to a window.
     """
     kept = flows.withColumns(
         {
@@ -36,7 +37,9 @@ def score_stream(
             "_duration": F.col("flow_duration"),
         }
     ).drop("label")
-    scored = classifying.score(transform(kept, preprocessor), model, classes)
+    of_windows = isinstance(model, classifying.WindowModel)
+    score = classifying.score_single_flow if of_windows else classifying.score
+    scored = score(transform(kept, preprocessor), model, classes)
     if use_thresholds:
         scored = apply_thresholds(scored, thresholds)
     return scored.select(

@@ -111,3 +111,39 @@ def test_a_batch_that_is_run_again_replaces_itself(spark, tmp_path, monkeypatch)
     assert found == {"packets": (1, 10), "rejects": (2, 0)}
     assert fanout.read_sink(spark, str(tmp_path), "rejects").count() == 2
     assert fanout.read_sink(spark, str(tmp_path), "packets").count() == 1
+
+
+@pytest.mark.parametrize("fin", [True, False])
+def test_estimated_stream_equals_estimated_batch(spark, sf_dir, tmp_path, fin):
+    packets = t.packets(spark, sf_dir)
+    arrive(spark, packets, str(tmp_path / "in"), 4, 3.0)
+    got = run(spark, str(tmp_path / "in"), str(tmp_path), timeout=5.0, split_on_fin=fin, min_packets=3, delay="8 seconds", profile="estimated")
+    want = {tuple(r[k] for k in (*FLOW_KEY, "start_ts")): r for r in fl.flow_features(packets, 5.0, fin, 3, "estimated").collect()}
+    rows = got.collect()
+    assert rows
+    for r in rows:
+        for f in FLOW_FEATURES:
+            assert r[f] == pytest.approx(want[tuple(r[k] for k in (*FLOW_KEY, "start_ts"))][f], rel=1e-9, abs=1e-9), f
+
+
+def test_at_once_closes_in_the_batch_of_the_fin(spark, tmp_path):
+    names = PACKET_SCHEMA.fieldNames()
+
+    def packet(i, ts, flags):
+        own = {"packet_id": i, "ts": 1000.0 + ts, "src_ip": "a", "dst_ip": "b", "src_port": 1, "dst_port": 2, "protocol": 6}
+        own |= {"size": 100, "header_size": 40, "tcp_flags": flags}
+        return tuple(own.get(c) for c in names)
+
+    # the last packet is older than one of the batch before it
+    batches = [[packet(2, 1.0, 0), packet(1, 0.0, 0)], [packet(3, 1.5, 1), packet(4, 2.0, 0)], [packet(5, 1.9, 1)]]
+    seen = {}
+    for rows in batches:
+        spark.createDataFrame(rows, PACKET_SCHEMA).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        time.sleep(0.05)
+    df = st.stream_flows(st.packet_stream(spark, str(tmp_path / "in"), 1), 100.0, True, 1, at_once=True)
+
+    def keep(batch, number):
+        seen[number] = [(r.n_packets, r.start_ts, r.end_ts, r.closed_by) for r in batch.collect()]
+
+    scoring.start(df, keep, str(tmp_path / "state"), available_now=True).awaitTermination()
+    assert seen[0] == [] and seen[1] == [(3, 1000.0, 1001.5, "fin")] and seen[2] == [(2, 1002.0, 1002.0, "fin")]
