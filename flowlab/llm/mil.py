@@ -70,6 +70,8 @@ def _byte_classes() -> np.ndarray:
 
 _CLASS = _byte_classes()
 _CLASSES = int(_CLASS.max()) + 1
+#: bytes whose features are computed together
+AT_ONCE = 1 << 20
 #: features of one passage
 WIDTH = _CLASSES + 8 + HASHED
 
@@ -110,7 +112,14 @@ def passage_features(texts: list[bytes | None], most: int | None = None) -> tupl
         numbers.append(len(spans))
     data = np.concatenate(parts) if parts else np.zeros(0, np.uint8)
     size = np.concatenate(sizes) if sizes else np.zeros(0, np.int64)
-    return _features(data, size), np.array(numbers, dtype=np.int64)
+    # about a megabyte at a time: the arrays on the way take many bytes per byte
+    ends = np.cumsum(size)
+    cuts = np.unique(np.searchsorted(ends, np.arange(AT_ONCE, len(data), AT_ONCE)))
+    edges = [0, *cuts[cuts > 0].tolist(), len(size)]
+    found = [
+        _features(data[ends[a] - size[a] : ends[b - 1]], size[a:b]) for a, b in zip(edges, edges[1:]) if b > a
+    ]
+    return np.concatenate(found) if found else _features(data, size), np.array(numbers, dtype=np.int64)
 
 
 def _features(data: np.ndarray, size: np.ndarray) -> np.ndarray:

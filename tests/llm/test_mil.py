@@ -89,3 +89,13 @@ def test_text_ids_and_clashing_names(spark):
     assert sorted(r["__score"] for r in kept.collect()) == list(range(1, 60, 2))
     numbers = docs.withColumn("doc_id", F.col("__score").cast("long"))
     assert mil.classify(numbers, labels.withColumn("doc_id", F.substring("doc_id", 3, 9))).count() == 60
+
+
+def test_features_do_not_depend_on_what_is_computed_together(monkeypatch):
+    rng = np.random.default_rng(3)
+    texts = [bytes(rng.integers(32, 127, n).astype(np.uint8)) for n in (0, 5, 9_000, 700, 40_000)] + [None, b""]
+    whole, numbers = mil.passage_features(texts)
+    for size in (1, 1_000, 7_777):
+        monkeypatch.setattr(mil, "AT_ONCE", size)
+        x, n = mil.passage_features(texts)
+        assert (x == whole).all() and (n == numbers).all()
