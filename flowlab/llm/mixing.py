@@ -37,7 +37,7 @@ import re
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowlab.llm.common import SPACES, stored
@@ -263,17 +263,20 @@ def _mixed(x: np.ndarray, key: np.uint64) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _permuted(block, blocks, seed: int):
+def _places(block: np.ndarray, blocks: np.ndarray, seed: int) -> np.ndarray:
     """Place of a block in the draw. The last, shorter block keeps the last place."""
+    size = np.maximum(blocks - 1, 1)
+    return np.where(block >= blocks - 1, block, permuted(np.minimum(block, size - 1), size, seed))
+
+
+def _permuted(block: Column, blocks: Column, seed: int) -> Column:
+    """``_places`` of columns."""
 
     @F.pandas_udf("long")
-    def place(at: pd.Series, whole: pd.Series) -> pd.Series:
-        return pd.Series(permuted(at.to_numpy(), whole.to_numpy(), seed))
+    def place(at: pd.Series, count: pd.Series) -> pd.Series:
+        return pd.Series(_places(at.to_numpy(), count.to_numpy(), seed))
 
-    whole = blocks - 1
-    # evaluated for every row, so the last block must be within bounds as well
-    size = F.greatest(whole, F.lit(1).cast("long"))
-    return F.when(block >= whole, block).otherwise(place(F.least(block, size - F.lit(1)), size))
+    return place(block, blocks)
 
 
 def mix(
@@ -305,9 +308,17 @@ def _dealt(docs, text, key, source, block_words=BLOCK_WORDS, shards=None, seed=S
     plan = checked_broadcast(plan)
     shared = documents.sparkSession.sparkContext.broadcast(borders)
 
-    @F.pandas_udf("int")
-    def shard_of(draw: pd.Series) -> pd.Series:
-        return pd.Series(((np.searchsorted(shared.value, draw.to_numpy(), side="right") - 1) % (shards + 1)).astype(np.int32))
+    # place and shards of a block in one function: a task needs one Python worker
+    @F.pandas_udf("rank long, shards array<int>")
+    def deal(block: pd.Series, count: pd.Series, passes: pd.Series, first: pd.Series) -> pd.DataFrame:
+        count = count.to_numpy()
+        rank = _places(block.to_numpy(), count, seed)
+        turns = passes.to_numpy() + 1
+        ends = np.cumsum(turns)
+        row = np.repeat(np.arange(len(rank)), turns)
+        draw = first.to_numpy()[row] + (np.arange(len(row)) - (ends - turns)[row]) * count[row] + rank[row]
+        shard = ((np.searchsorted(shared.value, draw, side="right") - 1) % (shards + 1)).astype(np.int32)
+        return pd.DataFrame({"rank": rank, "shards": np.split(shard, ends[:-1])[: len(rank)]})
 
     same = F.col("_source").eqNullSafe(F.col("_plan_source"))
     joined = _positions(documents.where("_size > 0")).join(plan, same)
@@ -316,16 +327,17 @@ def _dealt(docs, text, key, source, block_words=BLOCK_WORDS, shards=None, seed=S
     blocks = joined.withColumn("_block", F.explode(F.sequence(first, last)))
     block_start = F.col("_block") * F.lit(block_words)
     blocks = (
-        blocks.withColumn("_rank", _permuted(F.col("_block"), F.col("_blocks"), seed))
+        blocks.withColumn("_deal", deal("_block", "_blocks", "_passes", "_first"))
+        .withColumn("_rank", F.col("_deal.rank"))
         # words of the block that the cut pass takes
         .withColumn("_part", F.greatest(F.lit(0), F.least(F.lit(block_words), F.col("_rest") - F.col("_rank") * F.lit(block_words))))
-        .withColumn("pass", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_passes"))))
+        .select("*", F.posexplode("_deal.shards").alias("pass", "shard"))
+        .withColumn("pass", F.col("pass").cast("long"))
         .withColumn("_take", F.when(F.col("pass") < F.col("_passes"), F.lit(block_words)).otherwise(F.col("_part")))
         .withColumn("word_from", F.greatest(F.lit(0), block_start - F.col("_start")))
         .withColumn("word_to", F.least(F.col("_size"), block_start + F.col("_take") - F.col("_start")))
         .where("word_to > word_from")
         .withColumn("_draw", F.col("pass") * F.col("_blocks") + F.col("_rank"))
-        .withColumn("shard", shard_of(F.col("_first") + F.col("_draw")))
         .withColumn("place", F.xxhash64(F.lit(seed), "shard", "_source", "_draw"))
         .withColumn("_at", F.col("_start") + F.col("word_from"))
     )
