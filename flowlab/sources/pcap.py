@@ -101,8 +101,12 @@ def _next(head: dict, data: bytes, at: int, size_left: int) -> int | None:
     return length
 
 
-def _find_start(head: dict, data: bytes, lo: int, size: int, hi: int) -> int | None:
-    """First offset in [lo, hi) from which records chain on far enough."""
+def _find_start(head: dict, data: bytes, lo: int, size: int, hi: int, before: bytes = b"") -> int | None:
+    """First offset in [lo, hi) from which records chain on far enough.
+
+    ``before``: the bytes that precede ``lo``; with them a header in the contents
+    of a record that began earlier is told from the record's own.
+    """
     if lo <= head["body"]:
         return head["body"]
     needed = head["limit"] + 64
@@ -116,27 +120,40 @@ def _find_start(head: dict, data: bytes, lo: int, size: int, hi: int) -> int | N
             position += step
             records += 1
         else:
-            return lo + _likeliest(head, data, at)
+            return _inside(lo + _likeliest(head, data, at, before), hi)
         # a truncated last record is not an error, but few records before it may
         # be packet contents that look like them
         left = size - (lo + position)
         if records and left < head["limit"] and lo + len(data) >= size and (left < 16 or _cut_record(head, data, position)):
             if records >= 16:
-                return lo + _likeliest(head, data, at)
+                return _inside(lo + _likeliest(head, data, at, before), hi)
             if cut is None or records > cut[0]:
                 cut = (records, at)
-    return None if cut is None else lo + _likeliest(head, data, cut[1])
+    return None if cut is None else _inside(lo + _likeliest(head, data, cut[1], before), hi)
+
 
+def _inside(start: int, hi: int) -> int | None:
+    """A record that begins behind the range is found by a later one."""
+    return start if start < hi else None
 
-def _likeliest(head: dict, data: bytes, at: int) -> int:
+
+def _likeliest(head: dict, data: bytes, at: int, before: bytes = b"") -> int:
     """Of all records that end where the one at ``at`` ends, the likeliest.
 
     Small numbers beside a header can look like one that is shifted by some
     bytes. A header that tells the same length twice is preferred, then one
-    whose time is nearest to that of the next record.
+    whose time is nearest to that of the next record. If the likeliest begins in
+    the bytes ``before``, the first record of ``data`` is the one after it.
     """
     if head["kind"] != "pcap":
         return at
+    if before:
+        found = _likeliest_of(head, before + data, 0, len(before) + at) - len(before)
+        return found if found >= 0 else at + _next(head, data, at, len(data) - at)
+    return _likeliest_of(head, data, at, at)
+
+
+def _likeliest_of(head: dict, data: bytes, lo: int, at: int) -> int:
     end = at + (_next(head, data, at, len(data) - at) or 0)
     order = head["order"]
     if end + 16 > len(data):
@@ -148,7 +165,7 @@ def _likeliest(head: dict, data: bytes, at: int) -> int:
         sec, _, caught, wire = struct.unpack_from(order + "IIII", data, q)
         return caught == wire, 0 if after is None else -abs(sec - after)
 
-    near = [q for q in _candidates(head, data, at, end) if q + (_next(head, data, q, len(data) - q) or 0) == end]
+    near = [q for q in _candidates(head, data, lo, end) if q + (_next(head, data, q, len(data) - q) or 0) == end]
     return max(near, key=key, default=at)
 
 
@@ -201,13 +218,16 @@ def _locate(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             try:
                 with files.open_input(path) as f:
                     head = _head(f.read(64))
-                    f.seek(lo)
+                    # a record that covers the first byte began at most this far before it
+                    back = min(max(lo - head["body"], 0), head["limit"] + 16) if head["kind"] == "pcap" else 0
+                    f.seek(lo - back)
+                    before = f.read(back)
                     # enough to see a full chain even if it begins at the last byte
                     want = min(size - lo, 4 * head["limit"] + 4096)
                     if head["kind"] == "pcapng":
                         want = min(size - lo, hi - lo + 2 * head["limit"])
                     data = f.read(want)
-                    start = _find_start(head, data, lo, size, hi)
+                    start = _find_start(head, data, lo, size, hi, before)
                     if start is not None and head["kind"] == "pcapng":
                         links = _interfaces(data, head, start - lo, hi - lo) or None
             except Exception as e:  # noqa: BLE001 - an unreadable file is reported, not fatal

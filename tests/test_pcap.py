@@ -196,3 +196,14 @@ def test_a_clock_that_was_not_set(spark, tmp_path):
     (tmp_path / "a.pcap").write_bytes(data[:24] + b"\0\0\0\0" + data[28:])
     rows, rejects = read(spark, tmp_path, range_bytes=50_000)
     assert not rejects and len(rows) == 1500
+
+
+def test_range_that_begins_in_a_header_with_a_look_alike(spark, tmp_path):
+    # the total length of the IP header reads as a record of 52 bytes that ends
+    # where the packet ends
+    frame = ethernet(ipv4(6, tcp(1000, 80, 16, 8)))
+    frame += b"\0" * (77 - len(frame))
+    (tmp_path / "a.pcap").write_bytes(pcap_bytes([frame] * 120, start=85_000))
+    for width in (97, 211):
+        packets, rejects = read(spark, tmp_path, range_bytes=width)
+        assert (len(packets), rejects) == (120, [])
