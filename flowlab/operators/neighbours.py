@@ -35,6 +35,8 @@ from flowlab.session import cut_lineage
 
 #: fitted points of a cell
 CELL_ROWS = 4_096
+#: cells of points with many coordinates, and most fitted points of one
+WIDE_CELLS, WIDE_ROWS = 32, 16_384
 #: visits of a cell that one task answers
 VISIT_ROWS = 8_192
 #: cells of a tree; their boxes go to every task (8 coordinates: 8 MB)
@@ -74,6 +76,7 @@ def nearest(
     asked = queries.where(_finite("vec")).groupBy("vec").agg(F.count(F.lit(1)).alias("_copies"))
     known = cut_lineage(known)
     size = known.count()
+    cell_rows = _wide_cells(known, size, cell_rows)
     names = ["d", "id", "n", *carry]
     types = {"d": "double", "n": "bigint"} | {c: known.schema[c].dataType.simpleString() for c in ["id", *carry]}
     near_type = f"array<struct<{','.join(f'`{c}`:{types[c]}' for c in names)}>>"
@@ -114,6 +117,14 @@ def nearest(
     return _joined(queries, cut_lineage(answers))
 
 
+def _wide_cells(known: DataFrame, size: int, cell_rows: int) -> int:
+    """With many coordinates, where few cells can be excluded, cells grow with the
+    points up to ``WIDE_ROWS``: a query is sent to fewer of them."""
+    if size and known.select(F.size("vec")).first()[0] > AXES + 1:
+        return max(cell_rows, min(WIDE_ROWS, math.ceil(size / WIDE_CELLS)))
+    return cell_rows
+
+
 def _finite(vec: str) -> Column:
     bad = F.exists(vec, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == F.lit(math.inf)))
     return F.col(vec).isNotNull() & ~F.coalesce(bad, F.lit(False))
@@ -268,7 +279,7 @@ class _Cells:
 def _meet(active: DataFrame, stored: DataFrame, cells: _Cells, k: int, names: list[str], types: dict[str, str]) -> DataFrame:
     """``_q`` and ``_found``: the nearest points of the visited cells, at most
     ``k`` of each part of a cell."""
-    visits = active.select("_q", "vec", F.explode("_visits").alias("_cell"))
+    visits = active.select("_q", "vec", "radius", F.explode("_visits").alias("_cell"))
     counts = visits.groupBy("_cell").count().collect()  # at most MOST_CELLS rows
     sides = [(r["_cell"], cells.parts[r["_cell"]], math.ceil(r["count"] / VISIT_ROWS)) for r in counts]
     parts = F.broadcast(active.sparkSession.createDataFrame(sides, "_cell int, _fitted int, _asking int"))
@@ -278,7 +289,7 @@ def _meet(active: DataFrame, stored: DataFrame, cells: _Cells, k: int, names: li
         visits.join(parts, "_cell")
         .withColumn("_i", F.pmod(F.xxhash64("_q"), F.col("_asking")).cast("int"))
         .withColumn("_j", every("_fitted"))
-        .select(*keys, "_q", "vec")
+        .select(*keys, "_q", "vec", "radius")
     )
     payload = [c for c in names if c != "d"]
     right = (
@@ -294,15 +305,17 @@ def _meet(active: DataFrame, stored: DataFrame, cells: _Cells, k: int, names: li
         b = b.sort_values("p_id")
         x, y = (np.array(v.tolist(), dtype=np.float64) for v in (a["vec"], b["p_vec"]))
         columns = {c: b[f"p_{c}"].to_numpy() for c in payload}
+        reach = a["radius"].to_numpy(dtype=np.float64, na_value=np.inf)
+        reach = np.where(np.isnan(reach), np.inf, reach)
         out = {f"p_{c}": [] for c in names}
-        m = min(k, len(y))
+        asked = []
         for start in range(0, len(x), 256):
-            d = _distances(x[start : start + 256], y)
-            for row, at in zip(d, _first(d, m)):
-                out["p_d"].append(row[at])
+            for row, at, d in _nearer(x[start : start + 256], y, k, reach[start : start + 256]):
+                asked.append(start + row)
+                out["p_d"].append(d)
                 for c in payload:
                     out[f"p_{c}"].append(columns[c][at])
-        return pd.DataFrame({"_q": a["_q"].to_numpy(), **out})
+        return pd.DataFrame({"_q": a["_q"].to_numpy()[asked], **out})
 
     schema = "_q long, " + ", ".join(f"`p_{c}` array<{types[c]}>" for c in names)
     met = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(closest, schema)
@@ -318,6 +331,50 @@ def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.sqrt(total)
 
 
+def _nearer(x: np.ndarray, y: np.ndarray, k: int, reach: np.ndarray):
+    """Row, positions and distances of the at most ``k`` nearest of ``y`` within
+    ``reach`` of each row that has any, by distance, earlier positions on ties.
+
+    With many coordinates a matrix product, allowing for its rounding, says which
+    pairs can count; the distances are those of the differences.
+    """
+    m = min(k, len(y))
+    if x.shape[1] <= 8:
+        d = _distances(x, y)
+        for row, at in enumerate(_first(d, m)):
+            at = at[d[row, at] <= reach[row]]
+            if len(at):
+                yield row, at, d[row, at]
+        return
+    with np.errstate(over="ignore", invalid="ignore"):
+        square_x, square_y = (x * x).sum(axis=1), (y * y).sum(axis=1)
+        slack = 4e-16 * (x.shape[1] + 8) * (square_x + square_y.max())
+        # (d^2 - x^2) / 2
+        half = x @ y.T
+        np.subtract(0.5 * square_y, half, out=half)
+        limit = 0.5 * (np.square(reach) * (1 + 1e-12) + slack - square_x)
+        far = np.flatnonzero(~np.isfinite(reach))
+        if len(far):  # nothing is known of these yet
+            last = np.partition(half[far], m - 1, axis=1)[:, m - 1]
+            limit[far] = last + slack[far]
+        i, j = np.nonzero(~(half > limit[:, None]))
+    total = np.zeros(len(i))
+    for c in range(x.shape[1]):
+        gap = x[i, c] - y[j, c]
+        total += gap * gap
+    d = np.sqrt(total)
+    order = np.lexsort((j, d, i))
+    i, j, d = i[order], j[order], d[order]
+    cuts = np.flatnonzero(np.append(True, i[1:] != i[:-1])) if len(i) else []
+    for start, end in zip(cuts, [*cuts[1:], len(i)]):
+        row = int(i[start])
+        near = slice(start, min(end, start + m))
+        at, gaps = j[near], d[near]
+        at, gaps = at[gaps <= reach[row]], gaps[gaps <= reach[row]]
+        if len(at):
+            yield row, at, gaps
+
+
 def _first(d: np.ndarray, m: int) -> np.ndarray:
     """Columns of the ``m`` smallest of each row, in order, earlier columns on ties."""
     if m == 1:

@@ -102,3 +102,17 @@ def test_label_through_cells_and_by_broadcast(spark):
     one = D.nearest_label(asked, fitted).orderBy("id").collect()
     two = D.nearest_label(asked, fitted, broadcast_rows=0, block_rows=30).orderBy("id").collect()
     assert one == two
+
+
+@pytest.mark.parametrize("k", [1, 3])
+def test_products_find_what_differences_find(k):
+    rng = np.random.default_rng(4)
+    y = np.concatenate([rng.normal(0, 1, (300, 20)), 1e4 + rng.normal(0, 1e-3, (50, 20))])
+    y = np.concatenate([y, y[:20]])  # ties: the earlier position
+    x = np.concatenate([y[::7], rng.normal(0, 1, (30, 20))])
+    d = N._distances(x, y)
+    order = np.argsort(d, axis=1, kind="stable")[:, :k]
+    reach = np.where(np.arange(len(x)) % 3 == 0, np.inf, np.sort(d, axis=1)[:, 4])
+    found = {row: (at.tolist(), gaps.tolist()) for row, at, gaps in N._nearer(x, y, k, reach)}
+    assert found == {r: (order[r].tolist(), d[r, order[r]].tolist()) for r in range(len(x))}
+    assert list(N._nearer(x[:3], y, k, np.full(3, -1.0))) == []
