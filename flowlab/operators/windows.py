@@ -130,15 +130,26 @@ def window_vector(matrix: str | Column, kind: str = "stats") -> Column:
     def fold(values, fn):
         return F.aggregate(values, F.lit(0.0), fn)
 
+    def bound(value, fn):
+        # a lambda's variable: an expression would be computed again for every entry
+        return F.element_at(F.transform(F.array(value), fn), 1)
+
     def summary(i):
-        values = F.transform(m, lambda row: F.element_at(row, i))
         n = F.size(m)
-        mean = fold(values, lambda s, x: s + x) / n
-        spread = F.sqrt(fold(values, lambda s, x: s + (x - mean) * (x - mean)) / n)
-        later, earlier = F.slice(values, 2, n), F.slice(values, 1, n - 1)
-        steps = F.zip_with(later, earlier, lambda a, b: F.abs(F.coalesce(a - b, F.lit(0.0))))
-        step = fold(steps, lambda s, x: s + x) / F.greatest(n - 1, F.lit(1))
-        return F.array(mean, spread, F.array_min(values), F.array_max(values), step)
+
+        def of_values(values):
+            mean = fold(values, lambda s, x: s + x) / n
+            later, earlier = F.slice(values, 2, n), F.slice(values, 1, n - 1)
+            steps = F.zip_with(later, earlier, lambda a, b: F.abs(F.coalesce(a - b, F.lit(0.0))))
+            step = fold(steps, lambda s, x: s + x) / F.greatest(n - 1, F.lit(1))
+
+            def of_mean(mean):
+                spread = F.sqrt(fold(values, lambda s, x: s + (x - mean) * (x - mean)) / n)
+                return F.array(mean, spread, F.array_min(values), F.array_max(values), step)
+
+            return bound(mean, of_mean)
+
+        return bound(F.transform(m, lambda row: F.element_at(row, i)), of_values)
 
     width = F.size(F.element_at(m, 1))
     return F.flatten(F.transform(F.sequence(F.lit(1), width), summary))

@@ -1,5 +1,6 @@
 """Learning: invariants and thresholds, state round trips, loaders."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -192,3 +193,12 @@ def test_runs(spark, prepared, tmp_path):
     rows = {(r.model, r.metric): r.value for r in found.collect()}
     assert ("kmeans", "adjusted_rand_index") in rows and ("dbscan", "noise_ratio") in rows
     assert spark.read.option("header", True).csv(str(tmp_path / "uns" / "kmeans_cluster_profiles")).count() == rows[("kmeans", "n_clusters")]
+
+
+def test_window_vector_computes_each_sum_once(spark):
+    rows = np.array([[1.0, 5.0], [4.0, 5.0], [2.0, -1.0]])
+    df = spark.createDataFrame([(rows.tolist(),)], "m array<array<double>>").select(W.window_vector("m").alias("v"))
+    # mean, spread and step: nothing is folded again for every entry of another fold
+    assert df._jdf.queryExecution().analyzed().toString().count("aggregate(") == 3
+    expected = [f(rows[:, i]) for i in range(2) for f in (np.mean, np.std, np.min, np.max, lambda x: np.abs(np.diff(x)).mean())]
+    assert np.allclose(df.first()["v"], expected, atol=1e-12)
