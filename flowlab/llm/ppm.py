@@ -20,10 +20,14 @@ whole documents, so adapting costs an ordinary text next to nothing.
 *Distribution.* One pass over the texts turns them into blocks: a dictionary of
 distinct words with their training counts, and the documents as positions in
 it. Words of all blocks meet once, dealt by their first bytes, so that every
-subtree of the trie lies in one task; the nodes above and the short contexts
-are tables of bounded, checked size. The short contexts spell new words, so
-they count every distinct training word of the corpus once. Scores return to the blocks. What is gathered grows with the corpus,
-and nothing that does is broadcast or sent to the driver.
+subtree of the trie lies in one task; the nodes above are a table of bounded,
+checked size. The short contexts spell new words, so they count every distinct
+training word of the corpus once. All of them count, however rare: the
+probability of each context and symbol that words need is computed by joins, one
+order after the other. The commonest of these spellings are broadcast, a bounded
+table; the others come to the tasks with the words that need them. Scores return
+to the blocks. What is gathered grows with the corpus, and nothing that does is
+broadcast or sent to the driver.
 
 Defined results: a null or empty text is the end alone; a null id counts as the
 empty text in the choice of training rows; repeated rows are scored alike;
@@ -39,6 +43,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -53,8 +58,8 @@ SUBTREE_SHARE = 1 / 64
 MOST_PREFIXES = 1_000_000
 #: bytes of the longest short context
 ORDER = 4
-#: share of all symbols that a short context must hold to be kept
-LEAST_SHARE = 1 / 50_000
+#: spellings (context and symbol) that are broadcast; the others are joined
+COMMON_SPELLINGS = 500_000
 END = 256  # the terminator
 SYMBOLS = 257
 #: prior weight of the adaptive model
@@ -181,19 +186,108 @@ class Short:
         return out
 
 
-def short_contexts(counted: DataFrame) -> list:
-    """Counts of all contexts up to ``ORDER`` bytes that hold at least
-    ``LEAST_SHARE`` of the symbols: at most 1 / ``LEAST_SHARE`` per order."""
-    orders = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.lit((1 << 8 * k) - 1).alias("mask")) for k in range(ORDER + 1)]))
-    summed = (
-        counted.select(orders.alias("o"), "context", "symbol", "n")
-        .groupBy("o.k", F.col("context").bitwiseAND(F.col("o.mask")).alias("context"), "symbol")
-        .agg(F.sum("n").alias("n"))
+def spellings(counted: DataFrame) -> DataFrame:
+    """``code`` (context and symbol), log10 probability ``low`` and ``uses``.
+
+    ``counted`` has every pair of ``context`` and ``symbol`` of all words: ``n``
+    training words have it, ``uses`` words in all. Of the orders up to one byte
+    there are at most 257 * 257 pairs; the driver computes them.
+    """
+    by_order = {ORDER: counted}
+    for k in range(ORDER - 1, 0, -1):  # each order from the next longer one
+        context = F.col("context").bitwiseAND(F.lit((1 << 8 * k) - 1)).alias("context")
+        by_order[k] = stored(by_order[k + 1].groupBy(context, "symbol").agg(F.sum("n").alias("n")), f"order{k}")
+    one = [tuple(r) for r in by_order[1].select("context", "symbol", "n").collect()]
+    none: dict[int, int] = {}
+    for _, symbol, n in one:
+        none[symbol] = none.get(symbol, 0) + n
+    short = Short([(0, 0, s, n) for s, n in none.items() if n] + [(1, c, s, n) for c, s, n in one if n])
+    context, symbol = (np.array([r[i] for r in one], dtype=np.int64) for i in (0, 1))
+    low = short.log10(context, symbol)
+    shorter = counted.sparkSession.createDataFrame(
+        list(zip(context.tolist(), symbol.tolist(), (10.0**low).tolist())), "shorter long, symbol int, q double"
     )
-    whole = Window.partitionBy("k", "context")
-    sums = summed.withColumn("_held", F.sum("n").over(whole))
-    everything = counted.agg(F.sum("n")).first()[0] or 0
-    return sums.where(F.col("_held") >= F.lit(LEAST_SHARE * everything)).select("k", "context", "symbol", "n").collect()
+    for k in range(2, ORDER + 1):
+        whole = Window.partitionBy("context")
+        seen = F.col("n") > 0
+        known = by_order[k].withColumn("shorter", F.col("context").bitwiseAND(F.lit((1 << 8 * (k - 1)) - 1))).join(shorter, ["shorter", "symbol"])
+        sums = known.withColumns({
+            "_n": F.sum("n").over(whole),
+            "_d": F.sum(seen.cast("int")).over(whole),
+            "_taken": F.sum(F.when(seen, F.col("q")).otherwise(0.0)).over(whole),
+        })
+        # as in _level: seen symbols share n of n + d, an escape leads to the others
+        escaped = (F.col("_d") < SYMBOLS) & (F.col("_taken") < 1)
+        mass = F.col("_n") + F.when(escaped, F.col("_d")).otherwise(0)
+        p = (
+            F.when(F.col("_n") == 0, F.col("q"))
+            .when(seen, F.col("n") / mass)
+            .when(escaped, F.col("q") * F.col("_d") / (mass * (1 - F.col("_taken"))))
+            .otherwise(0.0)
+        )
+        uses = ["uses"] if k == ORDER else []
+        shorter = sums.select(F.col("context").alias("shorter"), "symbol", p.alias("q"), *uses)
+    code = F.shiftleft("shorter", 9).bitwiseOR(F.col("symbol").cast("long"))
+    return shorter.select(code.alias("code"), F.log10(F.greatest("q", F.lit(1e-300))).alias("low"), "uses")
+
+
+class Spelling:
+    """Log10 probabilities of symbols after short contexts, by table."""
+
+    def __init__(self, code: np.ndarray, low: np.ndarray, more: Spelling | None = None):
+        self.code, at = np.unique(code, return_index=True)
+        self.low, self.more = low[at], more
+
+    def known(self, code: np.ndarray) -> np.ndarray:
+        at = np.minimum(np.searchsorted(self.code, code), len(self.code) - 1)
+        return self.code[at] == code if len(self.code) else np.zeros(len(code), bool)
+
+    def log10(self, context: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+        code = context << 9 | symbol
+        own = self.known(code)
+        if not own.all() and self.more is None:
+            raise ValueError("a spelling is missing")
+        out = np.empty(len(code))
+        out[own] = self.low[np.searchsorted(self.code, code[own])]
+        if not own.all():
+            out[~own] = self.more.log10(context[~own], symbol[~own])
+        return out
+
+
+def common_spellings(spelt: DataFrame) -> Spelling:
+    """The most used ones, at most ``COMMON_SPELLINGS``."""
+    bits = F.floor(F.log2("uses")).cast("int")
+    sizes = {r[0]: r[1] for r in spelt.groupBy(bits.alias("b")).agg(F.count(F.lit(1))).collect()}
+    total, least = 0, 64
+    for b in sorted(sizes, reverse=True):
+        total += sizes[b]
+        if total > COMMON_SPELLINGS:
+            break
+        least = b
+    found = spelt.where(bits >= least).select("code", "low").toArrow()
+    return Spelling(found.column("code").to_numpy(), found.column("low").to_numpy())
+
+
+def _rare(batches, common: Spelling, depth: int, inner: bool):
+    """``head`` and ``code`` of spellings that are not common: within the first
+    ``depth`` bytes of words, or (``inner``) from there on."""
+    for batch in batches:
+        words = batch.column(0).to_pylist()
+        data, offset, length = _spelled(words)
+        row, codes = [], []
+        for at, active, o, symbol in _symbols(data, offset, length, depth if inner else 0, None if inner else depth):
+            code = _context(data, o, at) << 9 | symbol
+            left = ~common.known(code)
+            row.append(active[left])
+            codes.append(code[left])
+        row, code = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (row, codes))
+        heads = pa.array([w[:depth] for w in words], pa.binary()).dictionary_encode()
+        group = heads.indices.to_numpy(zero_copy_only=False)[row]
+        width = 8 * ORDER + 9  # bits of a code
+        pairs = np.unique(group.astype(np.int64) << width | code)
+        yield pa.RecordBatch.from_arrays(
+            [heads.dictionary.take(pa.array(pairs >> width)), pa.array(pairs & (1 << width) - 1)], names=["head", "code"]
+        )
 
 
 def _level(counts: np.ndarray, shorter: np.ndarray) -> np.ndarray:
@@ -221,27 +315,49 @@ def _context(data, offset, depth: int) -> np.ndarray:
     return code
 
 
+def _symbols(data, offset, length, start: int, stop: int | None):
+    """Depth, words that reach it, their offsets and symbols there."""
+    depth = start
+    active = np.flatnonzero(length >= start)
+    while len(active) and depth != stop:
+        o, l = offset[active], length[active]
+        yield depth, active, o, np.where(l == depth, END, data[np.minimum(o + depth, len(data) - 1)].astype(np.int64))
+        active = active[l > depth]
+        depth += 1
+
+
 def _short_counts(batches):
-    """Counts of (context, symbol) over distinct words, each counted once."""
-    total: dict[int, int] = {}
+    """Counts of (context, symbol) over distinct words, each counted once: the
+    training words ``n`` and all words ``uses``."""
+    total: dict[int, tuple[int, int]] = {}
+
+    def rows():
+        code = np.fromiter(total, np.int64, len(total))
+        n, uses = np.array(list(total.values()), dtype=np.int64).reshape(-1, 2).T
+        total.clear()
+        return pa.RecordBatch.from_arrays(
+            [pa.array(code >> 9), pa.array((code & 511).astype(np.int32)), pa.array(n), pa.array(uses)],
+            names=["context", "symbol", "n", "uses"],
+        )
+
     for batch in batches:
         data, offset, length = _spelled(batch.column(0).to_pylist())
-        depth = 0
-        active = np.arange(len(length))
-        while len(active):
-            o, l = offset[active], length[active]
-            symbol = np.where(l == depth, END, data[np.minimum(o + depth, len(data) - 1)].astype(np.int64))
-            code, n = np.unique(_context(data, o, depth) << 9 | symbol, return_counts=True)
-            for c, k in zip(code.tolist(), n.tolist()):
-                total[c] = total.get(c, 0) + k
-            active = active[l > depth]
-            depth += 1
-    items = list(total.items())
-    code = np.array([c for c, _ in items], dtype=np.int64)
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(code >> 9), pa.array((code & 511).astype(np.int32)), pa.array([n for _, n in items], pa.int64())],
-        names=["context", "symbol", "n"],
-    )
+        trained = batch.column(1).to_numpy() > 0
+        codes, owners = [], []
+        for depth, active, o, symbol in _symbols(data, offset, length, 0, None):
+            codes.append(_context(data, o, depth) << 9 | symbol)
+            owners.append(trained[active])
+        if not codes:
+            continue
+        code, at, uses = np.unique(np.concatenate(codes), return_inverse=True, return_counts=True)
+        n = np.bincount(at, weights=np.concatenate(owners), minlength=len(code)).astype(np.int64)
+        for c, k, u in zip(code.tolist(), n.tolist(), uses.tolist()):
+            a, b = total.get(c, (0, 0))
+            total[c] = (a + k, b + u)
+        if len(total) > 200_000:  # summed by the shuffle
+            yield rows()
+    if total:
+        yield rows()
 
 
 # --- the trie
@@ -258,7 +374,7 @@ def escape(n, once, distinct, chain):
     return DAMPED * np.where(chain & (distinct == 1), sure, estimate)
 
 
-def walk(words: list[bytes], counts: np.ndarray, start: int, stop: int | None, score: np.ndarray, plain: np.ndarray, chain: np.ndarray, short: Short) -> None:
+def walk(words: list[bytes], counts: np.ndarray, start: int, stop: int | None, score: np.ndarray, plain: np.ndarray, chain: np.ndarray, short: Short | Spelling) -> None:
     """Add the log10 probabilities of the symbols at depths ``start`` to ``stop``.
 
     ``words`` are distinct, sorted, at least ``start`` bytes long and complete
@@ -308,7 +424,7 @@ def walk(words: list[bytes], counts: np.ndarray, start: int, stop: int | None, s
 class Top:
     """Nodes above the subtrees: every prefix shorter than ``depth``."""
 
-    def __init__(self, rows: list[tuple[bytes, int]], depth: int, short: Short):
+    def __init__(self, rows: list[tuple[bytes, int]], depth: int, short: Short | Spelling):
         """``rows``: (first ``depth`` bytes of words, training tokens); a prefix
         shorter than ``depth`` is a whole word."""
         self.depth = depth
@@ -320,11 +436,18 @@ class Top:
         self.paths = dict(zip(words, zip(score.tolist(), plain.tolist(), chain.tolist())))
 
 
-def _score_words(batches, top: Top, short: Short):
-    """Scores of words that arrive sorted; whole subtrees are scored together."""
+def _score_words(batches, top: Top, common: Spelling):
+    """Scores of words that arrive sorted; whole subtrees are scored together.
+
+    Rows without a word come before the words of their ``head``: the spellings
+    of these words that are not among the common ones.
+    """
     waiting: list[pa.RecordBatch] = []
 
     def answer(table: pa.Table):
+        rare = table.filter(pc.is_null(table.column("word")))
+        short = Spelling(rare.column("code").to_numpy(), rare.column("low").to_numpy(), common)
+        table = table.filter(pc.is_valid(table.column("word")))
         words = table.column("word").to_pylist()
         counts = table.column("n").to_numpy()
         paths = [top.paths[w[: top.depth]] for w in words]
@@ -345,12 +468,12 @@ def _score_words(batches, top: Top, short: Short):
             continue
         table = pa.Table.from_batches(waiting)
         # keep the last subtree back, it may go on
-        words = table.column("word")
-        last = words[-1].as_py()[: top.depth]
+        heads = table.column("head")
+        last = heads[-1].as_py()
         low, high = 0, table.num_rows
         while low < high:  # first row of the last subtree
             middle = (low + high) // 2
-            if words[middle].as_py()[: top.depth] < last:
+            if heads[middle].as_py() < last:
                 low = middle + 1
             else:
                 high = middle
@@ -469,26 +592,41 @@ def score(docs: DataFrame, text: str = "text", key: str = "doc_id", held_out=Non
     if size[0] > MOST_PREFIXES:
         raise ValueError(f"more than {MOST_PREFIXES} prefixes of {depth} bytes")
     train_tokens = int(size[2] or 0)
+    distinct_words = stored(dictionary.groupBy("word").agg(F.sum("n").alias("n")), "distinct")
     counted = stored(
-        dictionary.where("n > 0").select("word").distinct().mapInArrow(_short_counts, "context long, symbol int, n long")
-        .groupBy("context", "symbol").agg(F.sum("n").alias("n")),
+        distinct_words.mapInArrow(_short_counts, "context long, symbol int, n long, uses long")
+        .groupBy("context", "symbol").agg(F.sum("n").alias("n"), F.sum("uses").alias("uses")),
         "contexts",
     )
-    short = Short([tuple(r) for r in short_contexts(counted)])
-    top = Top([(bytes(r["head"]), int(r["n"])) for r in heads.select("head", "n").collect()], depth, short)
-    tables = blocks.sparkSession.sparkContext.broadcast((top, short))
-
+    spelt = stored(spellings(counted), "spellings")
+    common = common_spellings(spelt)
+    send = blocks.sparkSession.sparkContext.broadcast
+    commons = send(common)
+
+    def rare(words: DataFrame, inner: bool) -> DataFrame:
+        found = words.select("word").mapInArrow(lambda batches: _rare(batches, commons.value, depth, inner), "head binary, code long")
+        return found.join(spelt.select("code", "low"), "code")
+
+    # of the table of nodes above the subtrees: bounded as that is
+    extra = rare(heads.select(F.col("head").alias("word")), False).select("code", "low").distinct().toArrow()
+    known = Spelling(extra.column("code").to_numpy(), extra.column("low").to_numpy(), common)
+    top = Top([(bytes(r["head"]), int(r["n"])) for r in heads.select("head", "n").collect()], depth, known)
+    tops = send(top)
+
+    spelled = rare(distinct_words, True)
+    place = F.when(F.col("word").isNotNull(), F.struct("block", "place"))
     gathered = (
         dictionary.withColumn("head", F.expr(f"substring(word, 1, {depth})"))
+        .unionByName(spelled, allowMissingColumns=True)
         .repartition("head")
-        .groupBy("head", "word")
-        .agg(F.sum("n").alias("n"), F.collect_list(F.struct("block", "place")).alias("places"))
-        .sortWithinPartitions("head", "word")
-        .select("word", "n", "places")
+        .groupBy("head", "word", "code", "low")
+        .agg(F.sum("n").alias("n"), F.collect_list(place).alias("places"))
+        .sortWithinPartitions("head", F.col("word").asc_nulls_first())
+        .select("head", "word", "n", "places", "code", "low")
     )
     scored = stored(
         gathered.mapInArrow(
-            lambda batches: _score_words(batches, *tables.value), "places array<struct<block:bigint,place:int>>, n long, score double, plain double"
+            lambda batches: _score_words(batches, tops.value, commons.value), "places array<struct<block:bigint,place:int>>, n long, score double, plain double"
         ),
         "words",
     )

@@ -119,3 +119,34 @@ def test_scores_are_the_same_for_one_block_and_for_many(spark, sf_dir):
     many = {r.doc_id: r.score for r in ppm.score(docs.repartition(7)).collect()}
     assert set(one) == set(many)
     assert np.allclose([one[i] for i in one], [many[i] for i in one], rtol=1e-6)
+
+
+def test_rare_contexts_spell_new_words(spark, monkeypatch):
+    """Contexts with less than 1/50,000 of the symbols count like the others."""
+    draw = np.random.default_rng(5)
+    words = [bytes(draw.choice(list(b"abcdefghijklmnop"), 9)).decode() for _ in range(12_000)]
+    words += ["qzxwv" + a + b for a in "abc" for b in "de"]
+    texts = {i: " ".join(words[i::40]) for i in range(40)} | {40: "qzxwvce rqzxwvad"}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    monkeypatch.setattr(ppm, "COMMON_SPELLINGS", 3_000, raising=False)
+    got = {r.doc_id: r for r in ppm.score(docs, held_out=docs.doc_id == 40).collect()}
+
+    known = sorted(set(tokens(" ".join(words))))
+    codes = Counter()
+    for w in known:
+        path = b"    " + w
+        for d in range(len(w) + 1):
+            for k in range(ppm.ORDER + 1):
+                context = int.from_bytes(path[4 + d - k : 4 + d], "big") if k else 0
+                codes[(k, context, w[d] if d < len(w) else ppm.END)] += 1
+    counted = Counter(w for i in range(40) for w in tokens(texts[i]))
+    every = sorted({*known, *tokens(texts[40])})
+    n = np.array([counted[w] for w in every])
+    score, plain, chain = np.zeros(len(every)), np.zeros(len(every)), np.zeros(len(every), bool)
+    ppm.walk(every, n, 0, None, score, plain, chain, ppm.Short([(*key, c) for key, c in codes.items()]))
+    unseen = min(max((n == 1).sum() / n.sum(), 1e-6), 0.5)
+    blend = np.log10((1 - unseen) * 10.0**score + unseen * 10.0**plain)
+    for i in (0, 40):
+        at = np.array([every.index(w) for w in tokens(texts[i])])
+        expected = ppm.document_scores([at], blend, n)[3][0]
+        assert got[i].score == pytest.approx(expected, rel=1e-5)
