@@ -26,11 +26,16 @@ _MEASURES = ["size_f", "size_b", "iat", "iat_f", "iat_b", "active", "idle"]
 _SCALARS = ["header", "start", "last", "last_f", "last_b", "first_is_a"]
 _WIDTH = 5 * len(_MEASURES) + len(_SCALARS)
 _PENDING = ["ts", "packet_id", "size", "header_size", "closes", "is_a"]
+_KINDS = {"ts": float, "packet_id": np.int64, "size": np.int64, "header_size": np.int64, "closes": bool, "is_a": bool, "key": np.int64}
+_KEY_KINDS = {"a_ip": "string", "b_ip": "string", "a_port": "int", "b_port": "int", "protocol": "int"}
 STATE_SCHEMA = (
-    "pending_ts array<double>, pending_packet_id array<long>, pending_size array<long>, "
+    ", ".join(f"{c} array<{_KEY_KINDS[c]}>" for c in FLOW_KEY)
+    + ", pending_ts array<double>, pending_packet_id array<long>, pending_size array<long>, "
     "pending_header_size array<long>, pending_closes array<boolean>, pending_is_a array<boolean>, "
-    "open array<double>"
+    "pending_key array<int>, open array<double>"
 )
+#: groups of flow keys that share a call and a state
+KEY_GROUPS = 1024
 
 
 def packet_stream(spark: SparkSession, path: str, max_files: int | None = None, fmt: str = "parquet") -> DataFrame:
@@ -64,6 +69,7 @@ def stream_flows(
     delay: str | None = None,
     profile: str = "exact",
     at_once: bool = False,
+    groups: int = KEY_GROUPS,
 ) -> DataFrame:
     """Closed flows: on FIN/RST, otherwise after ``timeout`` of silence.
 
@@ -81,6 +87,9 @@ def stream_flows(
 
     ``profile="estimated"``: features and direction as the batch operator has
     them under that profile.
+
+    Keys are dealt to ``groups`` by hash; the keys of a group are handled in one
+    call, as arrays, and share a state with one summary per open flow.
     """
     if profile not in ("exact", "estimated"):
         raise ValueError(f"unknown profile: {profile}")
@@ -91,39 +100,46 @@ def stream_flows(
     keyed = with_flow_key(with_event_time(usable, delay)).select(
         *FLOW_KEY, "event_time", "ts", "packet_id", "size", "header_size",
         closes.alias("closes"), (F.col("src_ip") == F.col("a_ip")).alias("is_a"),
-        (F.col("a_ip") == F.col("b_ip")).alias("same_ip"),
+        F.pmod(F.xxhash64(*FLOW_KEY), F.lit(groups)).cast("int").alias("key_group"),
     )
 
-    def update(key, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+    def update(_, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
         mark_ms = state.getCurrentWatermarkMs()
-        pending, flow = _load(state)
+        keys, pending, flows = _load(state)
         for batch in batches:
-            fresh = {c: batch[c].to_numpy() for c in _PENDING}
-            pending = {c: np.concatenate([pending[c], fresh[c]]) for c in _PENDING}
-        order = np.lexsort((pending["packet_id"], pending["ts"]))
+            if not len(batch):
+                continue
+            every = pd.concat([keys, batch[FLOW_KEY]], ignore_index=True) if len(keys) else batch[FLOW_KEY].reset_index(drop=True)
+            number = every.groupby(FLOW_KEY, sort=False).ngroup().to_numpy()  # known keys keep theirs
+            fresh = {c: batch[c].to_numpy() for c in _PENDING} | {"key": number[len(keys) :]}
+            keys = every.drop_duplicates(ignore_index=True)
+            pending = {c: np.concatenate([pending[c], fresh[c]]) for c in _KINDS}
+            flows = np.concatenate([flows, np.tile(_EMPTY, (len(keys) - len(flows), 1))])
+        order = np.lexsort((pending["packet_id"], pending["ts"], pending["key"]))
         pending = {c: v[order] for c, v in pending.items()}
         if at_once:
-            ready = len(pending["ts"])
+            ready = np.ones(len(order), dtype=bool)
         else:
-            ready = int(np.searchsorted(pending["ts"] * 1000.0, mark_ms, side="right")) if mark_ms > 0 else 0
-        due = {c: v[:ready] for c, v in pending.items()}
-        pending = {c: v[ready:] for c, v in pending.items()}
-        if flow is not None:  # changes nothing in packets that have waited
-            due["ts"] = np.maximum(due["ts"], flow["last"])
-        closed = []
-        flow = _advance(flow, due, timeout, closed, by_key)
-        if flow is not None and mark_ms / 1000.0 > flow["last"] + timeout:
-            closed.append((flow, "timeout"))
-            flow = None
-        _store(state, pending, flow, mark_ms, timeout)
-        rows = [_features(f, why) for f, why in closed if _size(f) >= min_packets]
-        if rows:
-            out = pd.DataFrame(rows)
-            for name, value in zip(FLOW_KEY, key):
-                out[name] = value
+            ready = (pending["ts"] * 1000.0 <= mark_ms) & (mark_ms > 0)
+        due = {c: v[ready] for c, v in pending.items()}
+        pending = {c: v[~ready] for c, v in pending.items()}
+        # changes nothing in packets that have waited
+        due["ts"] = np.fmax(due["ts"], flows[due["key"], _LAST])
+        flows, closed, owner, fin = _advance_all(flows, due, timeout, by_key)
+        silent = mark_ms / 1000.0 > flows[:, _LAST] + timeout
+        closed = np.concatenate([closed, flows[silent]])
+        owner = np.concatenate([owner, np.flatnonzero(silent)])
+        fin = np.concatenate([fin, np.zeros(silent.sum(), dtype=bool)])
+        flows[silent] = _EMPTY
+        _store(state, keys, pending, flows, mark_ms, timeout)
+        kept = _sizes(closed) >= min_packets
+        if kept.any():
+            out = pd.DataFrame(_features(closed[kept], fin[kept]))
+            for name in FLOW_KEY:
+                out[name] = keys[name].to_numpy()[owner[kept]]
             yield out[[c.split()[0] for c in FLOW_SCHEMA.split(", ")]]
 
-    flows = keyed.groupBy(*FLOW_KEY).applyInPandasWithState(
+    flows = keyed.groupBy("key_group").applyInPandasWithState(
         update, FLOW_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout
     )
     return as_estimated(flows) if by_key else flows
@@ -131,31 +147,31 @@ def stream_flows(
 
 # --- state -----------------------------------------------------------------------------
 
-def _dtypes():
-    return {"ts": float, "packet_id": np.int64, "size": np.int64, "header_size": np.int64,
-            "closes": bool, "is_a": bool}
-
-
 def _load(state):
-    kinds = _dtypes()
+    """Keys of the group, their waiting packets, and their summaries by row."""
     if not state.exists:
-        return {c: np.array([], dtype=k) for c, k in kinds.items()}, None
-    *columns, packed = state.get
-    pending = {c: np.array(v, dtype=kinds[c]) for c, v in zip(_PENDING, columns)}
-    return pending, _unpack(packed) if len(packed) else None
-
-
-def _store(state, pending, flow, mark_ms, timeout) -> None:
-    if flow is None and not len(pending["ts"]):
+        nothing = pd.DataFrame({c: [] for c in FLOW_KEY})
+        return nothing, {c: np.array([], dtype=k) for c, k in _KINDS.items()}, np.zeros((0, _WIDTH))
+    columns = list(state.get)
+    keys = pd.DataFrame(dict(zip(FLOW_KEY, columns)))
+    pending = {c: np.array(v, dtype=_KINDS[c]) for c, v in zip([*_PENDING, "key"], columns[len(FLOW_KEY) :])}
+    return keys, pending, np.array(columns[-1], dtype=float).reshape(-1, _WIDTH)
+
+
+def _store(state, keys, pending, flows, mark_ms, timeout) -> None:
+    is_open = ~np.isnan(flows[:, _LAST])
+    used = is_open.copy()
+    used[pending["key"]] = True
+    if not used.any():
         if state.exists:
             state.remove()
         return
-    state.update((*[pending[c].tolist() for c in _PENDING], _pack(flow) if flow else []))
-    wakes = []
-    if len(pending["ts"]):
-        wakes.append(pending["ts"][0])
-    if flow is not None:
-        wakes.append(flow["last"] + timeout)
+    own = (np.cumsum(used) - 1)[pending["key"]]
+    state.update((
+        *[keys[c].to_numpy()[used].tolist() for c in FLOW_KEY],
+        *[pending[c].tolist() for c in _PENDING], own.tolist(), flows[used].ravel().tolist(),
+    ))
+    wakes = [*pending["ts"], *(flows[is_open, _LAST] + timeout)]
     state.setTimeoutTimestamp(max(int(np.floor(min(wakes) * 1000.0)), mark_ms + 1, 1))
 
 
@@ -172,114 +188,146 @@ def _unpack(packed) -> dict:
 # --- flow summary --------------------------------------------------------------------------
 
 _NONE = (0.0, 0.0, 0.0, np.inf, -np.inf)
+_AT = {m: slice(5 * i, 5 * i + 5) for i, m in enumerate(_MEASURES)} | {c: 5 * len(_MEASURES) + i for i, c in enumerate(_SCALARS)}
+_LAST = _AT["last"]
+#: the row of a key without an open flow
+_EMPTY = np.array([*_NONE * len(_MEASURES), 0.0, *[np.nan] * 4, 0.0])
+
+
+def _moments(owner: np.ndarray, x: np.ndarray, n: int) -> np.ndarray:
+    """A row of moments for each of ``n`` owners, which come in order."""
+    out = np.tile(_NONE, (n, 1))
+    if len(x):
+        count = np.bincount(owner, minlength=n)
+        some = count > 0
+        mean = np.bincount(owner, weights=x, minlength=n) / np.maximum(count, 1)
+        square = np.bincount(owner, weights=(x - mean[owner]) ** 2, minlength=n)
+        starts = np.flatnonzero(np.append(True, owner[1:] != owner[:-1]))
+        low, high = np.minimum.reduceat(x, starts), np.maximum.reduceat(x, starts)
+        out[some] = np.stack([count[some], mean[some], square[some], low, high], axis=1)
+    return out
+
+
+def _merge(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Moments of two disjoint sets of numbers, row by row."""
+    n = a[:, 0] + b[:, 0]
+    share = np.divide(b[:, 0], n, out=np.zeros_like(n), where=n > 0)
+    delta = b[:, 1] - a[:, 1]
+    return np.stack([
+        n, a[:, 1] + delta * share, a[:, 2] + b[:, 2] + delta * delta * a[:, 0] * share,
+        np.minimum(a[:, 3], b[:, 3]), np.maximum(a[:, 4], b[:, 4]),
+    ], axis=1)
+
+
+def _size(flow) -> int:
+    return int(flow["size_f"][0] + flow["size_b"][0])
+
 
+def _sizes(flows: np.ndarray) -> np.ndarray:
+    return flows[:, _AT["size_f"]][:, 0] + flows[:, _AT["size_b"]][:, 0]
 
-def _moments(x: np.ndarray):
-    if not len(x):
-        return _NONE
-    mean = float(x.mean())
-    return (float(len(x)), mean, float(((x - mean) ** 2).sum()), float(x.min()), float(x.max()))
 
+def _advance(flow, due, timeout, closed, by_key=False):
+    """Feed packets of one key in order; finished flows are appended to ``closed``."""
+    rows = np.array([_EMPTY if flow is None else _pack(flow)])
+    due = due | {"key": np.zeros(len(due["ts"]), dtype=np.int64)}
+    rows, done, _, fin = _advance_all(rows, due, timeout, by_key)
+    closed += [(_unpack(f), "fin" if b else "timeout") for f, b in zip(done.tolist(), fin.tolist())]
+    return None if np.isnan(rows[0, _LAST]) else _unpack(rows[0].tolist())
+
+
+def _advance_all(flows, due, timeout, by_key=False):
+    """Feed packets, in order of key and time, to the open flows of their keys.
 
-def _merge(a, b):
-    """Moments of two disjoint sets of numbers."""
-    n = a[0] + b[0]
-    if not n:
-        return _NONE
-    delta = b[1] - a[1]
+    Returns the open flows, the closed ones, their keys, and whether a FIN or
+    RST closed them.
+    """
+    key, ts, closes = due["key"], due["ts"], due["closes"]
+    if not len(ts):
+        return flows.copy(), np.zeros((0, _WIDTH)), np.zeros(0, np.int64), np.zeros(0, bool)
+    breaks = np.append(True, key[1:] != key[:-1])
+    first = breaks.copy()  # of a key
+    breaks[1:] |= (np.diff(ts) > timeout) | closes[:-1]
+    starts = np.flatnonzero(breaks)
+    part, own, first = np.cumsum(breaks) - 1, key[starts], first[starts]
+    before = flows[own]
+    was_open = first & ~np.isnan(before[:, _LAST])
+    goes_on = was_open & ~(ts[starts] - before[:, _LAST] > timeout)
+    base = np.where(goes_on[:, None], before, _EMPTY)
+    new = ~goes_on
+    base[new, _AT["start"]] = ts[starts][new]
+    base[new, _AT["first_is_a"]] = 1.0 if by_key else due["is_a"][starts][new]
+    found = _extend(base, part, due)
+    fin = closes[np.append(starts[1:], len(ts)) - 1]
+    final = np.append(own[1:] != own[:-1], True)  # of its key
+    still = final & ~fin
+    flows = flows.copy()
+    flows[own[final]] = _EMPTY
+    flows[own[still]] = found[still]
+    silent = was_open & new
     return (
-        n,
-        a[1] + delta * b[0] / n,
-        a[2] + b[2] + delta * delta * a[0] * b[0] / n,
-        min(a[3], b[3]),
-        max(a[4], b[4]),
+        flows,
+        np.concatenate([before[silent], found[~still]]),
+        np.concatenate([own[silent], own[~still]]),
+        np.concatenate([np.zeros(silent.sum(), dtype=bool), fin[~still]]),
     )
 
 
-def _size(flow) -> int:
-    return int(flow["size_f"][0] + flow["size_b"][0])
+def _extend(base, part, due):
+    """Add consecutive packets to the summaries ``base`` of their flows. Forward
+    is the way of the first packet or, ``by_key``, from the lower end of the key."""
+    ts, size, n = due["ts"], due["size"].astype(float), len(base)
+    fwd = due["is_a"] == (base[part, _AT["first_is_a"]] == 1.0)
 
+    def gaps(some, before):
+        """Gaps between these packets, and the flows they belong to."""
+        at, owner = ts[some], part[some]
+        head = np.append(True, owner[1:] != owner[:-1])[: len(owner)]
+        previous = np.append(np.nan, at[:-1])[: len(at)]
+        previous[head] = base[owner[head], _AT[before]]
+        known = ~np.isnan(previous)
+        return owner[known], (at - previous)[known]
 
-def _advance(flow, due, timeout, closed, by_key=False):
-    """Feed packets in order; finished flows are appended to ``closed``."""
-    ts, closes = due["ts"], due["closes"]
-    if not len(ts):
-        return flow
-    breaks = np.zeros(len(ts), dtype=bool)
-    breaks[1:] = (np.diff(ts) > timeout) | closes[:-1]
-    if flow is not None:
-        breaks[0] = ts[0] - flow["last"] > timeout
-    edges = [0, *(np.flatnonzero(breaks[1:]) + 1).tolist(), len(ts)]
-    if flow is not None and breaks[0]:
-        closed.append((flow, "timeout"))
-        flow = None
-    for start, stop in zip(edges[:-1], edges[1:]):
-        part = {c: v[start:stop] for c, v in due.items()}
-        flow = _extend(flow, part, by_key)
-        if part["closes"][-1]:
-            closed.append((flow, "fin"))
-            flow = None
-        elif stop < len(ts):
-            closed.append((flow, "timeout"))
-            flow = None
-    return flow
-
-
-def _gaps(ts: np.ndarray, before: float) -> np.ndarray:
-    if np.isnan(before):
-        return np.diff(ts)
-    return np.diff(np.concatenate([[before], ts]))
-
-
-def _extend(flow, part, by_key=False):
-    """Add consecutive packets of one flow to its summary. Forward is the way
-    of its first packet or, ``by_key``, from the lower end of the key."""
-    ts, is_a = part["ts"], part["is_a"]
-    if flow is None:
-        flow = {m: _NONE for m in _MEASURES} | {
-            "header": 0.0, "start": ts[0], "last": np.nan, "last_f": np.nan, "last_b": np.nan,
-            "first_is_a": 1.0 if by_key else float(is_a[0]),
-        }
-    fwd = is_a == bool(flow["first_is_a"])
-    gaps = _gaps(ts, flow["last"])
+    owner, gap = gaps(np.ones(len(ts), dtype=bool), "last")
+    active = gap < IDLE_GAP
     found = {
-        "size_f": part["size"][fwd], "size_b": part["size"][~fwd], "iat": gaps,
-        "iat_f": _gaps(ts[fwd], flow["last_f"]) if fwd.any() else gaps[:0],
-        "iat_b": _gaps(ts[~fwd], flow["last_b"]) if (~fwd).any() else gaps[:0],
-        "active": gaps[gaps < IDLE_GAP], "idle": gaps[gaps >= IDLE_GAP],
-    }
-    return {m: _merge(flow[m], _moments(x)) for m, x in found.items()} | {
-        "header": flow["header"] + float(part["header_size"].sum()),
-        "start": flow["start"],
-        "last": float(ts[-1]),
-        "last_f": float(ts[fwd][-1]) if fwd.any() else flow["last_f"],
-        "last_b": float(ts[~fwd][-1]) if (~fwd).any() else flow["last_b"],
-        "first_is_a": flow["first_is_a"],
+        "size_f": (part[fwd], size[fwd]), "size_b": (part[~fwd], size[~fwd]), "iat": (owner, gap),
+        "iat_f": gaps(fwd, "last_f"), "iat_b": gaps(~fwd, "last_b"),
+        "active": (owner[active], gap[active]), "idle": (owner[~active], gap[~active]),
     }
+    out = base.copy()
+    for m, (of, x) in found.items():
+        out[:, _AT[m]] = _merge(base[:, _AT[m]], _moments(of, x, n))
+    out[:, _AT["header"]] += np.bincount(part, weights=due["header_size"], minlength=n)
+    for name, some in (("last", slice(None)), ("last_f", fwd), ("last_b", ~fwd)):
+        out[part[some], _AT[name]] = ts[some]  # the last one stays
+    return out
 
 
-def _features(flow, why: str) -> dict:
+def _features(flows: np.ndarray, fin: np.ndarray) -> dict:
     def stats(prefix, m):
-        n, mean, m2, low, high = flow[m]
-        if not n:
-            return {f"{prefix}_{s}": 0.0 for s in ("mean", "std", "min", "max")}
-        return {f"{prefix}_mean": mean, f"{prefix}_std": float(np.sqrt(m2 / n)),
-                f"{prefix}_min": low, f"{prefix}_max": high}
-
-    nf, nb = flow["size_f"][0], flow["size_b"][0]
-    bf, bb = round(nf * flow["size_f"][1]), round(nb * flow["size_b"][1])
+        n, mean, m2, low, high = flows[:, _AT[m]].T
+        some = n > 0
+        return {f"{prefix}_mean": np.where(some, mean, 0.0), f"{prefix}_std": np.sqrt(np.where(some, m2, 0.0) / np.maximum(n, 1)),
+                f"{prefix}_min": np.where(some, low, 0.0), f"{prefix}_max": np.where(some, high, 0.0)}
+
+    column = lambda m, i=0: flows[:, _AT[m]][:, i]
+    nf, nb, header = column("size_f"), column("size_b"), flows[:, _AT["header"]]
+    bf, bb = np.rint(nf * column("size_f", 1)), np.rint(nb * column("size_b", 1))
     total = bf + bb
-    duration = max(flow["last"] - flow["start"], MIN_DURATION)
+    start, last = flows[:, _AT["start"]], flows[:, _LAST]
+    duration = np.maximum(last - start, MIN_DURATION)
     return {
-        "start_ts": flow["start"], "end_ts": flow["last"], "n_packets": int(nf + nb), "closed_by": why,
-        "fwd_packet_count": int(nf), "bwd_packet_count": int(nb),
-        "total_fwd_bytes": int(bf), "total_bwd_bytes": int(bb),
+        "start_ts": start, "end_ts": last, "n_packets": (nf + nb).astype(np.int64),
+        "closed_by": np.where(fin, "fin", "timeout").astype(object),
+        "fwd_packet_count": nf.astype(np.int64), "bwd_packet_count": nb.astype(np.int64),
+        "total_fwd_bytes": bf.astype(np.int64), "total_bwd_bytes": bb.astype(np.int64),
         **stats("fwd_pkt_len", "size_f"), **stats("bwd_pkt_len", "size_b"),
         "flow_duration": duration, "flow_bytes_per_sec": total / duration,
         "flow_pkts_per_sec": (nf + nb) / duration,
         **stats("iat", "iat"), **stats("fwd_iat", "iat_f"), **stats("bwd_iat", "iat_b"),
-        "fwd_bwd_byte_ratio": bf / max(bb, 1), "fwd_bwd_pkt_ratio": nf / max(nb, 1),
-        "header_ratio": flow["header"] / max(total, 1),
-        "payload_ratio": (total - flow["header"]) / max(total, 1),
-        "active_mean": flow["active"][1], "idle_mean": flow["idle"][1],
+        "fwd_bwd_byte_ratio": bf / np.maximum(bb, 1), "fwd_bwd_pkt_ratio": nf / np.maximum(nb, 1),
+        "header_ratio": header / np.maximum(total, 1),
+        "payload_ratio": (total - header) / np.maximum(total, 1),
+        "active_mean": column("active", 1), "idle_mean": column("idle", 1),
     }

@@ -147,3 +147,15 @@ def test_at_once_closes_in_the_batch_of_the_fin(spark, tmp_path):
 
     scoring.start(df, keep, str(tmp_path / "state"), available_now=True).awaitTermination()
     assert seen[0] == [] and seen[1] == [(3, 1000.0, 1001.5, "fin")] and seen[2] == [(2, 1002.0, 1002.0, "fin")]
+
+
+def test_many_keys_share_a_call(spark, tmp_path):
+    """The calls of a batch are bounded, however many keys it has."""
+    packets = spark.range(6_000).selectExpr(
+        "id as packet_id", "cast(id div 3000 as double) as ts", "concat('a', id % 3000) as src_ip", "'b' as dst_ip", "1 as src_port",
+        "2 as dst_port", "17 as protocol", "id % 100 as size", "28L as header_size", "0 as tcp_flags")
+    packets.select([F.col(f.name).cast(f.dataType) for f in PACKET_SCHEMA]).coalesce(1).write.parquet(str(tmp_path / "in"))
+    df = st.stream_flows(st.packet_stream(spark, str(tmp_path / "in"), 1), 5.0, False, 1, delay="1 seconds", at_once=True)
+    query = scoring.write_stream(df, str(tmp_path / "out"), str(tmp_path / "state"), available_now=True)
+    query.awaitTermination()
+    assert max(p.stateOperators[0].numRowsTotal for p in query.recentProgress) <= 1024
