@@ -26,7 +26,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from flowlab.llm.common import batches_of, quoted
+from flowlab.llm.common import batches_of, frugal, quoted
 
 #: chunks kept by a worker between batches
 CACHE_CHUNKS = 200_000
@@ -306,9 +306,10 @@ def digests(docs: DataFrame, path: str, text: str = "text", key: str = "doc_id")
                     for k, ids in zip(keys, model.encode_batch(texts))
                 )
                 yield from batches_of(rows, schema)
+        model.cache.clear()  # workers outlive the stage
 
     kind = source.schema[key].dataType.simpleString()
-    return source.mapInArrow(run, f"{quoted(key)} {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return source.mapInArrow(frugal(run), f"{quoted(key)} {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def _arrow_type(df: DataFrame, column: str) -> pa.DataType:

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowlab.llm.common import byte_column, fresh, quoted, split_remainder
+from flowlab.llm.common import byte_column, fresh, frugal, quoted, split_remainder
 
 #: labelled rows the classifier is fitted on
 TRAIN_ROWS = 4_000
@@ -320,7 +320,7 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_
                 )
 
     bags = (
-        sample.mapInArrow(encode, f"id {kind}, check long, quality int, x binary")
+        sample.mapInArrow(frugal(encode), f"id {kind}, check long, quality int, x binary")
         .groupBy("id")
         .agg(F.min(F.struct("check", "quality", "x")).alias("bag"))
         .select("bag.quality", "bag.x", "id")
@@ -349,7 +349,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | N
                 yield pa.RecordBatch.from_arrays(columns, names=[*keep, out])
 
     fields = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in source.schema.fields[:-1])
-    return source.mapInArrow(run, f"{fields}, {quoted(out)} double")
+    return source.mapInArrow(frugal(run), f"{fields}, {quoted(out)} double")
 
 
 def classify(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:

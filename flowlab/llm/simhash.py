@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowlab.llm.common import byte_column, fresh, quoted, stored, words_of
+from flowlab.llm.common import byte_column, fresh, frugal, quoted, stored, words_of
 from flowlab.operators.clustering import connected_components
 from flowlab.operators.scale import checked_broadcast
 
@@ -83,7 +83,7 @@ def fingerprints(docs: DataFrame, text: str = "text", key: str = "doc_id", shing
                 [batch.column(0).cast(schema.field(0).type), pa.array(values.view(np.int64)), batch.column(2)], schema=schema
             )
 
-    return source.mapInArrow(run, f"{quoted(key)} {source.schema[key].dataType.simpleString()}, fp long, _text long")
+    return source.mapInArrow(frugal(run), f"{quoted(key)} {source.schema[key].dataType.simpleString()}, fp long, _text long")
 
 
 def block_masks(blocks: int = BLOCKS, distance: int = DISTANCE) -> list[int]:

@@ -84,3 +84,11 @@ def test_key_name_with_a_blank(spark):
     assert got[1] > 0 and got[None] == 0
     back = bpe.decode(bpe.encode(docs, PATH, key="the id"), PATH, key="the id")
     assert back.count() == 2
+
+
+def test_workers_give_back_memory_when_a_task_ends(monkeypatch):
+    from flowlab.llm import common
+
+    ended = []
+    monkeypatch.setattr(common, "release_memory", lambda: ended.append(True))
+    assert list(common.frugal(iter)([1, 2])) == [1, 2] and ended == [True]
