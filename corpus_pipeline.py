@@ -12,12 +12,13 @@ from pyspark.sql import DataFrame, SparkSession
 from flowlab.llm import bpe, mil, mixing, rules, simhash
 from flowlab.llm.common import stored, table
 from flowlab.llm.queries import tokenizer_file
-from flowlab.session import ship_package
+from flowlab.session import ship_package, small_batches
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier rejects go."""
     ship_package(spark)
+    small_batches(spark)
     return mil.accepted(docs, table(spark, sf_dir, "labels"))
 
 
@@ -29,6 +30,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays."""
     ship_package(spark)
+    small_batches(spark)
     return simhash.one_of_each(docs)
 
 
@@ -36,12 +38,14 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources are brought to their target shares: a row per dealt piece, the
     words of a document in one drawn block, in the order of the shards."""
     ship_package(spark)
+    small_batches(spark)
     return mixing.mixed_documents(docs)
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token counts and digests of ids and decoded text of every row."""
     ship_package(spark)
+    small_batches(spark)
     return bpe.digests(docs, tokenizer_file("word_bpe_49k.json"))
 
 

@@ -33,6 +33,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -40,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowlab.llm.common import SPACES, stored
+from flowlab.llm.common import SPACES, release_memory, stored
 from flowlab.operators.scale import checked_broadcast
 
 #: weights of the sources, repeated over their order
@@ -382,8 +383,13 @@ def spans_of(text: str, starts, ends) -> list[str]:
     return [data[at[a] : at[b]].decode() for a, b in zip(starts, ends)]
 
 
-def _spans(text: pd.Series, starts: pd.Series, ends: pd.Series) -> pd.Series:
-    return pd.Series([None if t is None else spans_of(t, a, b) for t, a, b in zip(text, starts, ends)], dtype=object)
+def _spans(columns: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+    """Of texts, starts and ends."""
+    try:
+        for batch in columns:
+            yield pd.Series([None if t is None else spans_of(t, a, b) for t, a, b in zip(*batch)], dtype=object)
+    finally:
+        release_memory()
 
 
 def mixed_documents(docs: DataFrame, text: str = "text", key: str = "doc_id", source: str = "source", **kw) -> DataFrame:

@@ -132,7 +132,7 @@ def links(points: DataFrame, distance: int = DISTANCE, blocks: int = BLOCKS, cel
     found = (
         dealt.repartition("key")
         .sortWithinPartitions("key")
-        .mapInArrow(lambda batches: _compare_runs(batches, distance), "u long, v long")
+        .mapInArrow(frugal(lambda batches: _compare_runs(batches, distance)), "u long, v long")
     )
     return found.distinct()
 

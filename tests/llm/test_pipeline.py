@@ -3,6 +3,8 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -70,3 +72,16 @@ def test_stages_on_an_empty_table(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, sf_dir).count() == 0
+
+
+def test_texts_reach_python_a_few_megabytes_at_a_time(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(0)
+    for name, stage in corpus_pipeline.STAGES:
+        spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+        stage(spark, docs, sf_dir)
+        if name == "quality_rules":  # no Python
+            continue
+        long = spark.range(0, 3_000, 1, 1).select(F.repeat(F.lit("ab "), 5_000).alias("text"))
+        sizes = long.mapInArrow(lambda bs: (pa.RecordBatch.from_pydict({"n": [b.nbytes]}) for b in bs), "n long")
+        found = [r.n for r in sizes.collect()]
+        assert sum(found) > 40_000_000 and max(found) < 8_000_000
