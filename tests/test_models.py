@@ -202,3 +202,19 @@ def test_window_vector_computes_each_sum_once(spark):
     assert df._jdf.queryExecution().analyzed().toString().count("aggregate(") == 3
     expected = [f(rows[:, i]) for i in range(2) for f in (np.mean, np.std, np.min, np.max, lambda x: np.abs(np.diff(x)).mean())]
     assert np.allclose(df.first()["v"], expected, atol=1e-12)
+
+
+def test_rows_are_scored_once_for_all_metrics(spark):
+    scored_rows = spark.sparkContext.accumulator(0)
+
+    @F.udf("array<double>")
+    def probability(x):
+        scored_rows.add(1)
+        return [x, 1 - x]
+
+    rows = spark.range(1_000).select(
+        (F.col("id") % 2).cast("int").alias("label_idx"), (F.col("id") % 3 % 2).cast("int").alias("prediction"),
+        probability(F.col("id") % 7 / 7).alias("probability"),
+    )
+    found = {r.metric: r.value for r in S.evaluate(rows, 2).collect()}
+    assert "roc_auc_ovr" in found and scored_rows.value == 1_000
