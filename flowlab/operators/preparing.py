@@ -25,6 +25,7 @@ from flowlab.schema import (
     LIVE_LOG_POSITIONS,
     LOG_FEATURES,
 )
+from flowlab.session import stored
 
 LIVE_LOG_FEATURES = [FLOW_FEATURES[i] for i in LIVE_LOG_POSITIONS]
 
@@ -254,8 +255,16 @@ def fit_preprocessor(
     The table keeps the ids and has ``label``, ``label_idx``, ``split``, the
     scaled columns and the vector ``features``. ``fit_on="all"`` fits the
     imputer before the split, as single-machine pipelines often do.
+
+    Fitting takes several passes. Except for the plain profile, whose expressions
+    are short, the labelled rows and later the cleaned and split ones are written
+    once: passes over the bare input would derive every column again, in
+    expressions that grow with each step put on top of them.
     """
     features = list(features)
+    used = {*ids, "label", *features}
+    if profile != "plain":
+        df = stored(df.select(*[c for c in df.columns if c in used]), "labeled")
     df = C.drop_unlabeled(df)
     upper: dict[str, float] = {}
     if profile == "cic":
@@ -268,8 +277,10 @@ def fit_preprocessor(
     )
     cleaned = model.clean(df).select(*ids, "label", *features)
     parts = sampling.stratified_split(cleaned, test, val, seed, ids)
+    if profile != "plain":
+        parts = stored(parts, "split")
     train = parts.where(F.col("split") == "train")
-    model.params = _fit_imputed(train, None if fit_on == "train" else cleaned, features, scaler)
+    model.params = _fit_imputed(train, None if fit_on == "train" else parts, features, scaler)
     return model, transform(parts, model, cleaned=True)
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from flowlab.operators import metrics as M
-from flowlab.operators import sampling, scale
+from flowlab.operators import preparing, sampling, scale
 
 
 def rows_equal(a, b):
@@ -147,3 +147,19 @@ def test_class_joins_do_not_shuffle_the_rows(skewed):
         assert "Exchange hashpartitioning" not in df._jdf.queryExecution().executedPlan().toString()
     plan = P.histogram(skewed, "many")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1  # the final, pre-aggregated count
+
+
+def test_a_long_profile_derives_its_columns_once(spark):
+    """The prepared table reads the cleaned and split rows, not their derivation."""
+    df = spark.range(300).select(
+        F.col("id").alias("row_id"), F.when(F.col("id") % 3 == 0, "a").otherwise("b").alias("label"),
+        (F.col("id") % 50).cast("double").alias("fwd_packet_count"), (F.col("id") * 7.0).alias("total_fwd_bytes"),
+        F.lit(1).alias("unused"),
+    )
+    cols = ["fwd_packet_count", "total_fwd_bytes"]
+    model, table = preparing.fit_preprocessor(df, cols, profile="cic")
+    plan = table._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert "log1p" not in plan and "md5" not in plan
+    again = preparing.transform(df, model).select("row_id", *cols).collect()
+    assert sorted(table.select("row_id", *cols).collect()) == sorted(again)
+    assert {r["split"]: r["count"] for r in table.groupBy("split").count().collect()} == {"train": 210, "val": 30, "test": 60}
