@@ -299,9 +299,13 @@ def _meet(active: DataFrame, stored: DataFrame, cells: _Cells, k: int, names: li
         .select(*keys, F.col("vec").alias("p_vec"), *[F.col(c).alias(f"p_{c}") for c in payload])
     )
 
+    def lists(values: list) -> pd.Series:
+        # without any, pandas would take the column for numbers, which Arrow refuses as lists
+        return pd.Series(values, dtype=object)
+
     def closest(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         if a.empty or b.empty:
-            return pd.DataFrame({"_q": a["_q"][:0]} | {f"p_{c}": [] for c in names})
+            return pd.DataFrame({"_q": a["_q"][:0]} | {f"p_{c}": lists([]) for c in names})
         b = b.sort_values("p_id")
         x, y = (np.array(v.tolist(), dtype=np.float64) for v in (a["vec"], b["p_vec"]))
         columns = {c: b[f"p_{c}"].to_numpy() for c in payload}
@@ -315,7 +319,7 @@ def _meet(active: DataFrame, stored: DataFrame, cells: _Cells, k: int, names: li
                 out["p_d"].append(d)
                 for c in payload:
                     out[f"p_{c}"].append(columns[c][at])
-        return pd.DataFrame({"_q": a["_q"].to_numpy()[asked], **out})
+        return pd.DataFrame({"_q": a["_q"].to_numpy()[asked]} | {c: lists(v) for c, v in out.items()})
 
     schema = "_q long, " + ", ".join(f"`p_{c}` array<{types[c]}>" for c in names)
     met = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(closest, schema)

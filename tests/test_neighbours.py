@@ -104,6 +104,20 @@ def test_label_through_cells_and_by_broadcast(spark):
     assert one == two
 
 
+@pytest.mark.parametrize("dims", [2, 9])
+def test_visited_cells_without_a_nearer_point(spark, dims):
+    # a box reaches nearer than its points do: the corners of the two far cells are empty
+    rng = np.random.default_rng(6)
+    x = np.concatenate([rng.uniform(-1, 1, (400, dims)), rng.uniform(3, 5, (400, dims))])
+    x = x[np.abs(x - np.where(x[:, :1] > 2, 4, 0)).max(axis=1) > 0.6]
+    q = np.concatenate([np.zeros((3, dims)), np.full((3, dims), 4.0), rng.uniform(-1, 5, (60, dims))])
+    fitted = frame(spark, x).withColumn("label", F.when(F.col("id") % 5 > 0, (F.col("id") % 5).cast("int")))
+    got = D.nearest_label(frame(spark, q), fitted, broadcast_rows=0, block_rows=9).orderBy("id").collect()
+    want = [near[0] for near in brute(q, x, range(len(x)), 1)]
+    assert np.allclose([r.distance for r in got], [d for d, _ in want], atol=1e-12)
+    assert [r.label for r in got] == [i % 5 or None for _, i in want]
+
+
 @pytest.mark.parametrize("k", [1, 3])
 def test_products_find_what_differences_find(k):
     rng = np.random.default_rng(4)
