@@ -21,7 +21,7 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowlab.operators import block_svm
@@ -390,6 +390,14 @@ class WindowModel:
         vectors = windows.withColumn("features", array_to_vector(W.window_vector("matrix", self.kind)))
         return score(vectors, self.model)
 
+    def score_tiled(self, df: DataFrame, row: Column) -> DataFrame:
+        """:meth:`score` of windows that repeat ``row``, without building them for
+        their statistics."""
+        tiled = df.withColumn("matrix", W.tile(row, self.size))
+        if self.kind != "stats":
+            return self.score(tiled.drop("features"))
+        return score(tiled.withColumn("features", array_to_vector(W.tiled_vector(row, self.size))), self.model)
+
 
 def window_classifier(
     windows: DataFrame,
@@ -446,5 +454,5 @@ def score_single_flow(
 ) -> DataFrame:
     """Class and confidence of single flows: each is repeated to a window."""
     vector = vector_to_array(features) if dict(df.dtypes)[features] == "vector" else F.col(features)
-    tiled = df.withColumn("matrix", W.tile(vector, model.size)).drop("features")
-    return score(tiled, model, classes)
+    scored = model.score_tiled(df, vector)
+    return scored.withColumn("predicted_class", class_name("prediction", classes))

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -155,6 +157,35 @@ def window_vector(matrix: str | Column, kind: str = "stats") -> Column:
     return F.flatten(F.transform(F.sequence(F.lit(1), width), summary))
 
 
+def tiled_vector(row: Column, size: int) -> Column:
+    """What ``window_vector(tile(row, size))`` is, without building windows.
+
+    Equal entries are added in the order in which a window is folded, so the
+    values are the same; a batch of rows is added at once.
+    """
+
+    @F.arrow_udf("array<double>")
+    def summary(rows: pa.Array) -> pa.Array:
+        values = rows.flatten()
+        if rows.null_count or values.null_count:
+            raise ValueError("a row of numbers has NULLs")
+        x = values.to_numpy(zero_copy_only=False).reshape(len(rows), -1) if len(values) else np.zeros((len(rows), 0))
+
+        def total(v):
+            return sum([v] * size, np.zeros_like(v)) / size
+
+        with np.errstate(over="ignore", invalid="ignore"):
+            mean = total(x)
+            spread = np.sqrt(total((x - mean) * (x - mean)))
+            # neighbours are equal: steps of zero, but for values that are not finite
+            step = np.abs(x - x) if size > 1 else np.zeros_like(x)
+        out = np.stack([mean, spread, x, x, step], axis=2)
+        ends = np.arange(len(rows) + 1, dtype=np.int32) * (out.shape[1] * out.shape[2])
+        return pa.ListArray.from_arrays(pa.array(ends), pa.array(out.ravel()))
+
+    return summary(row)
+
+
 def _require_window(df: DataFrame, size: int) -> None:
     if df.limit(size).count() < size:
         raise ValueError(f"not enough rows for one window of {size}")

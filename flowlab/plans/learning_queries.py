@@ -17,7 +17,7 @@ from flowlab.plans.model_queries import CODED
 from flowlab.plans.packet_queries import rounded
 from flowlab.plans.registry import query, with_views
 from flowlab.plans.table_queries import LABELED, NUMERIC, cic_labeled
-from flowlab.session import checkpoint_dir, cut_lineage
+from flowlab.session import checkpoint_dir, cut_lineage, stored
 from flowlab.sources import sinks
 
 
@@ -119,21 +119,37 @@ def _single_flow(spark, sf):
 def _reload_windows(spark, sf):
     """Window models of both kinds score all rows as before they were saved."""
     pre, df = prepared(spark, sf)
-    train = W.sorted_windows(df.where("split = 'train'"), NUMERIC, "label_idx")
+    # numbered once for all kinds
+    train = stored(W.sorted_windows(df.where("split = 'train'"), NUMERIC, "label_idx"), "windows")
     everything = R.transform(cic_labeled(spark, sf), pre)
-    table = None
+    fitted, loaded = {}, {}
     for kind, how in (("forest", dict(method="forest", n_trees=10, max_depth=6)), ("perceptron", dict(layers=(32,), max_iters=(20,)))):
-        model = S.window_classifier(train, **how)
+        fitted[kind] = sinks.State(pre, S.window_classifier(train, **how), pre.kept_classes)
         folder = f"{shared_folder(spark)}/state"
-        sinks.save_state(spark, sinks.State(pre, model, pre.kept_classes), folder)
-        state = sinks.load_state(spark, folder)
-        before = S.score_single_flow(everything, model, pre.kept_classes).select("row_id", "predicted_class", "confidence")
-        again = S.score_single_flow(R.transform(cic_labeled(spark, sf), state.preprocessor), state.model, state.classes)
-        both = before.join(again.select("row_id", F.col("predicted_class").alias("_class"), F.col("confidence").alias("_confidence")), "row_id")
-        same = F.col("predicted_class").eqNullSafe(F.col("_class")) & (F.abs(F.col("confidence") - F.col("_confidence")) < 1e-12)
-        rows = both.agg(F.lit(kind).alias("kind"), F.count("*").alias("n"), F.count_if(~same).cast("int").alias("moved"))
-        table = rows if table is None else table.unionByName(rows)
-    return table
+        sinks.save_state(spark, fitted[kind], folder)
+        loaded[kind] = sinks.load_state(spark, folder)
+    # every kind has saved the same preprocessor: rows are transformed and joined once for all
+    first = next(iter(loaded.values())).preprocessor
+    assert all(state.preprocessor == first for state in loaded.values())
+    before = _scored_by(everything, fitted, "_was")
+    again = _scored_by(R.transform(cic_labeled(spark, sf), first), loaded, "_is")
+    both = before.join(again, "row_id")
+    counts = [F.count("*").alias("n")]
+    for kind in fitted:
+        was, now = F.col(f"{kind}_was"), F.col(f"{kind}_is")
+        same = was["predicted_class"].eqNullSafe(now["predicted_class"]) & (F.abs(was["confidence"] - now["confidence"]) < 1e-12)
+        counts.append(F.count_if(~same).cast("int").alias(kind))
+    rows = both.agg(*counts)
+    return rows.select(F.inline(F.array(*[F.struct(F.lit(k).alias("kind"), "n", F.col(k).alias("moved")) for k in fitted])))
+
+
+def _scored_by(df, states, suffix):
+    """``row_id`` and, for every kind of model, class and confidence."""
+    for kind, state in states.items():
+        kept = [c for c in df.columns if c == "row_id" or c.endswith(suffix)]
+        scored = S.score_single_flow(df.withColumn("_flow", F.col("features")), state.model, state.classes)
+        df = scored.select(*kept, F.struct("predicted_class", "confidence").alias(f"{kind}{suffix}"), F.col("_flow").alias("features"))
+    return df.drop("features")
 
 
 # --- models ---------------------------------------------------------------------------

@@ -1,7 +1,10 @@
 """Learning: invariants and thresholds, state round trips, loaders."""
 
+import math
+
 import numpy as np
 import pytest
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from flowlab.operators import classifying as S
@@ -218,3 +221,28 @@ def test_rows_are_scored_once_for_all_metrics(spark):
     )
     found = {r.metric: r.value for r in S.evaluate(rows, 2).collect()}
     assert "roc_auc_ovr" in found and scored_rows.value == 1_000
+
+
+@pytest.mark.parametrize("size", [1, 3, 20])
+def test_statistics_of_a_repeated_row(spark, size):
+    odd = [0.0, -0.0, 0.1, 1e308, -1e308, 5e-324, math.inf, -math.inf, math.nan, 3.0]
+    rng = np.random.default_rng(4)
+    rows = [[odd[(i + j) % 10] for j in range(4)] for i in range(10)] + (rng.normal(0, 1, (90, 4)) * 10.0 ** rng.integers(-9, 9, (90, 4))).tolist()
+    df = spark.createDataFrame([(i, r) for i, r in enumerate(rows)], "id long, x array<double>")
+    both = df.select(W.window_vector(W.tile("x", size)).alias("a"), W.tiled_vector(F.col("x"), size).alias("b")).collect()
+    assert len(both) == 100 and all(repr(r["a"]) == repr(r["b"]) for r in both)
+
+
+def test_single_flows_are_scored_without_windows(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    rows = [(i, rng.normal(i % 2, 0.3, 3).tolist(), i % 2) for i in range(60)]
+    df = spark.createDataFrame(rows, "row_id long, x array<double>, label_idx int")
+    flows = df.withColumn("features", array_to_vector("x"))
+    windows = df.select(W.tile("x", 20).alias("matrix"), "label_idx")
+    model = S.window_classifier(windows, method="forest", n_trees=3, max_depth=3)
+    wanted = model.score(df.withColumn("matrix", W.tile("x", 20))).select("row_id", "prediction", "confidence").orderBy("row_id").collect()
+    monkeypatch.setattr(W, "window_vector", None)
+    scored = S.score_single_flow(flows, model, ["a", "b"]).orderBy("row_id")
+    got = scored.select("row_id", "prediction", "confidence", "predicted_class", F.size("matrix").alias("n")).collect()
+    assert [tuple(r)[:3] for r in got] == [tuple(r) for r in wanted]
+    assert {(r["prediction"], r["predicted_class"], r["n"]) for r in got} == {(0, "a", 20), (1, "b", 20)}
